@@ -21,7 +21,14 @@ from pyspark.sql import functions as F
 
 from cooccur.config import Indicator
 from cooccur.functions.scores import llr
-from cooccur.operators.prepare import downsample, interaction_counts, per_event, primary_user_count
+from cooccur.operators.prepare import (
+    downsample,
+    interaction_counts,
+    per_event,
+    primary_user_count,
+    restrict_to_primary_users,
+)
+from cooccur.session import freeze
 
 TILE = 1024
 
@@ -156,14 +163,20 @@ def indicators(
 ) -> DataFrame:
     """CORR (action, item, correlator, llr, rank) for all event types in one pass.
 
-    ``actions`` is binarized and restricted to users of the primary event, which is
-    the first spec. Every spec brings its own cap, list length and threshold, and is
+    ``actions`` is binarized; the first spec is the primary event, and users without
+    it do not count. Every spec brings its own cap, list length and threshold, and is
     matched to the data by event name.
+
+    The capped rows are frozen, so the log is read once; the cap treats each user on
+    their own, so restricting the users afterwards gives the same rows as before.
     """
     primary = specs[0].name
     caps = {s.name: s.max_items_per_user for s in specs}
-    kept = downsample(actions.where(F.col("event").isin(list(caps))), caps, seed)
-    counted = kept.join(interaction_counts(kept), ["event", "item"])
+    kept = freeze(downsample(actions.where(F.col("event").isin(list(caps))), caps, seed))
+    kept = restrict_to_primary_users(kept, primary)
+    counted = freeze(kept.join(interaction_counts(kept), ["event", "item"]))
+    n_users = primary_user_count(counted, primary).scalar()
+
     left = counted.where(F.col("event") == primary).select(
         "user", "item", F.col("n_users").alias("ca")
     )
@@ -174,25 +187,18 @@ def indicators(
         .where(~is_primary | (F.col("item") < F.col("correlator")))
         .groupBy("event", "item", "correlator")
         .agg(F.count("*").alias("k11"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
-    )
-    n_users = primary_user_count(actions, primary).scalar()
-    scored = half.select(
-        F.col("event").alias("action"), "item", "correlator",
-        llr(F.col("k11"), F.col("ca"), F.col("cb"), n_users).alias("llr"),
+        .withColumn("llr", llr(F.col("k11"), F.col("ca"), F.col("cb"), n_users))
     )
     thresholds = {s.name: s.min_llr for s in specs if s.min_llr is not None}
-    scored = scored.withColumnRenamed("action", "event")
-    if thresholds:
-        low = per_event(None, thresholds).cast("double")
-        scored = scored.where(F.when(low.isNull(), F.col("llr") > 0).otherwise(F.col("llr") >= low))
-    else:
-        scored = min_llr(scored)
+    low = per_event(None, thresholds).cast("double")
+    strong = half.where(F.when(low.isNull(), F.col("llr") > 0).otherwise(F.col("llr") >= low))
+
     forward = F.struct(F.col("item").alias("a"), F.col("correlator").alias("b"))
     mirror = F.struct(F.col("correlator").alias("a"), F.col("item").alias("b"))
     directed = F.when(is_primary, F.array(forward, mirror)).otherwise(F.array(forward))
-    scored = scored.select(
+    corr = strong.select(
         F.col("event").alias("action"), F.explode(directed).alias("p"), "llr"
     ).select("action", F.col("p.a").alias("item"), F.col("p.b").alias("correlator"), "llr")
-    return top_correlators(scored, {s.name: s.max_correlators_per_item for s in specs}).select(
+    return top_correlators(corr, {s.name: s.max_correlators_per_item for s in specs}).select(
         "action", "item", "correlator", "llr", "rank"
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cooccur.config import EngineConfig, RecsModel
 from cooccur.operators.popularity import combine_rankings
-from cooccur.operators.prepare import binarize, min_events_per_user, restrict_to_primary_users
+from cooccur.operators.prepare import binarize, min_events_per_user
 from cooccur.operators.properties import aggregate_properties, extract_typed, props_to_map
 from cooccur.operators.similarity import correlator_lists, indicators
 from cooccur.sources.events import scan_events, split_actions
@@ -41,8 +41,7 @@ def actions_of(events: DataFrame, cfg: EngineConfig) -> DataFrame:
 def correlators(events: DataFrame, cfg: EngineConfig) -> DataFrame:
     """CORR of the configured event types."""
     actions = min_events_per_user(actions_of(events, cfg), cfg.min_events_per_user)
-    pairs = restrict_to_primary_users(binarize(actions), cfg.primary_event)
-    return indicators(pairs, cfg.effective_indicators, cfg.seed)
+    return indicators(binarize(actions), cfg.effective_indicators, cfg.seed)
 
 
 def rankings(events: DataFrame, props: DataFrame, cfg: EngineConfig, as_of=None) -> DataFrame:
@@ -108,7 +107,7 @@ def train(
     if props is None:
         props = aggregate_properties(events)
     if check:
-        sanity_check(actions_of(events, cfg), None, cfg.primary_event)
+        sanity_check(actions_of(events, cfg), props, cfg.primary_event)
     lists = None
     if cfg.recs_model != RecsModel.BACKFILL:
         lists = correlator_lists(correlators(events, cfg), cfg.model_event_names)

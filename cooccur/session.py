@@ -47,6 +47,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder and forget how it was computed."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` as a table in the shared folder and go on from there.
+
+    Used where a result feeds several branches of a plan: it is computed once, the
+    branches keep column pruning and file statistics, and a lost executor costs a
+    re-read, not a recomputation.
+    """
+    path = fresh_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
