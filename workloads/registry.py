@@ -10,7 +10,7 @@ from cooccur.operators import clauses as cl
 from cooccur.operators import cleaning, matching, popularity, prepare, properties, ranking, similarity
 from cooccur.plans import recommend as rec
 from cooccur.plans import train as tr
-from cooccur.session import fresh_path
+from cooccur.session import freeze, fresh_path
 from cooccur.sources import events as ev
 from cooccur.sources import queries as qs
 from cooccur.sources import store
@@ -77,7 +77,7 @@ def read_queries(spark, sf):
         "query_id", "user", "user_bias", "item", "item_bias", F.array_join(fields, ";").alias("fields"),
         "current_date", F.col("date_range.name").alias("range_name"), F.col("date_range.before").alias("before"),
         F.col("date_range.after").alias("after"), _text("blacklist_items"), "return_self",
-        F.col("num").cast("bigint").alias("num"), _text("event_names"), "with_ranks", "error",
+        F.col("num").cast("double").alias("num"), _text("event_names"), "with_ranks", "error",
     )
 
 
@@ -469,26 +469,33 @@ def sanity_check(spark, sf):
 # --- recommendation queries ---------------------------------------------------
 
 
-def _asked(spark, sf, **changes) -> DataFrame:
-    return qs.resolve_queries(_queries(spark, sf), t.engine(**changes), t.CURRENT_DATE)
+def _served(spark, sf, **changes) -> DataFrame:
+    """A trained model as queries meet it: published and read back."""
+    root = fresh_path(spark, "served")
+    store.publish_model(_model(spark, sf, **changes), root, "items")
+    return store.read_model(spark, root, "items")
+
 
+def _asked(spark, sf) -> DataFrame:
+    return freeze(qs.resolve_queries(_queries(spark, sf), t.engine(), t.CURRENT_DATE))
 
-def _history(spark, sf) -> DataFrame:
-    return cl.user_history(_asked(spark, sf), t.event_log(spark, sf), t.E_EVENTS, 20)
 
+def _history(spark, sf, asked) -> DataFrame:
+    return cl.user_history(asked, t.event_log(spark, sf), t.E_EVENTS, 20)
 
-def _similar(spark, sf, model) -> DataFrame:
-    return cl.similar_items(_asked(spark, sf), model, t.E_EVENTS, 20)
+
+def _similar(asked, model) -> DataFrame:
+    return cl.similar_items(asked, model, t.E_EVENTS, 20)
 
 
 @register
 def q_history(spark, sf):
-    return _history(spark, sf).withColumn("pos", F.col("pos").cast("bigint"))
+    return _history(spark, sf, _asked(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @register
 def q_similar(spark, sf):
-    return _similar(spark, sf, _model(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
+    return _similar(_asked(spark, sf), _served(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
 
 
 @register
@@ -499,28 +506,29 @@ def q_boost_fields(spark, sf):
 
 @register
 def q_score(spark, sf):
-    model, asked = _model(spark, sf), _asked(spark, sf)
-    clauses = rec.should_clauses(asked, _history(spark, sf), _similar(spark, sf, model), t.engine())
+    model, asked = _served(spark, sf), _asked(spark, sf)
+    clauses = rec.should_clauses(asked, _history(spark, sf, asked), _similar(asked, model), t.engine())
     return matching.score(clauses, matching.postings(model))
 
 
 @register
 def q_score_any(spark, sf):
-    model, asked = _model(spark, sf), _asked(spark, sf)
-    clauses = rec.should_clauses(asked, _history(spark, sf), _similar(spark, sf, model), t.engine())
+    model, asked = _served(spark, sf), _asked(spark, sf)
+    clauses = rec.should_clauses(asked, _history(spark, sf, asked), _similar(asked, model), t.engine())
     return matching.score(clauses, matching.postings(model), "any")
 
 
 @register
 def q_must_history(spark, sf):
-    clauses = rec.must_history(_asked(spark, sf), _history(spark, sf))
-    return matching.matches_all(clauses, matching.postings(_model(spark, sf)))
+    asked = _asked(spark, sf)
+    clauses = rec.must_history(asked, _history(spark, sf, asked))
+    return matching.matches_all(clauses, matching.postings(_served(spark, sf)))
 
 
 @register
 def q_must_similar(spark, sf):
-    model = _model(spark, sf)
-    clauses = rec.must_similar(_asked(spark, sf), _similar(spark, sf, model))
+    model, asked = _served(spark, sf), _asked(spark, sf)
+    clauses = rec.must_similar(asked, _similar(asked, model))
     return matching.matches_all(clauses, matching.postings(model))
 
 
@@ -560,7 +568,7 @@ def q_backfill(spark, sf):
     """The first items by rank for every query, past what its user has bought."""
     asked, log = _asked(spark, sf), t.event_log(spark, sf)
     cfg = t.engine()
-    places = rec.ordered_items(_model(spark, sf, recs_model=RecsModel.BACKFILL), cfg)
+    places = rec.ordered_items(_served(spark, sf, recs_model=RecsModel.BACKFILL), cfg)
     needs = asked.select("query_id", F.lit("").alias("sig"), F.col("num").cast("bigint").alias("need"))
     taken = ranking.exclusions(asked, log, (), "purchase").withColumn("sig", F.lit(""))
     ordered = places.select(F.lit("").alias("sig"), "item", F.col("gpos").alias("spos"))
@@ -587,7 +595,7 @@ def q_results_with_ranks(spark, sf):
     counted = met.groupBy("query_id", "item").agg(F.count("*").cast("double").alias("score"))
     top = ranking.top_n(counted, [F.asc("item")], 5)
     top = top.join(_asked(spark, sf).select("query_id", "with_ranks"), "query_id")
-    model = _model(spark, sf, recs_model=RecsModel.BACKFILL)
+    model = _served(spark, sf, recs_model=RecsModel.BACKFILL)
     shown = ranking.with_ranks(top, model, ["popRank", "userRank"])
     return shown.withColumn("position", F.col("position").cast("bigint"))
 
@@ -608,10 +616,7 @@ def q_serve_first(spark, sf):
 
 
 def _recommend(spark, sf, **changes) -> DataFrame:
-    cfg = t.engine(**changes)
-    root = fresh_path(spark, "recommend")
-    store.publish_model(_model(spark, sf, **changes), root, "items")
-    model = store.read_model(spark, root, "items")
+    cfg, model = t.engine(**changes), _served(spark, sf, **changes)
     results = rec.recommend(_queries(spark, sf), t.event_log(spark, sf), model, cfg, t.CURRENT_DATE)
     return results.withColumn("position", F.col("position").cast("bigint"))
 
