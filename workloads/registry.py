@@ -568,10 +568,10 @@ def q_backfill(spark, sf):
     """The first items by rank for every query, past what its user has bought."""
     asked, log = _asked(spark, sf), t.event_log(spark, sf)
     cfg = t.engine()
-    places = rec.ordered_items(_served(spark, sf, recs_model=RecsModel.BACKFILL), cfg)
+    places = rec.number_items(_served(spark, sf, recs_model=RecsModel.BACKFILL), cfg)
     needs = asked.select("query_id", F.lit("").alias("sig"), F.col("num").cast("bigint").alias("need"))
     taken = ranking.exclusions(asked, log, (), "purchase").withColumn("sig", F.lit(""))
-    ordered = places.select(F.lit("").alias("sig"), "item", F.col("gpos").alias("spos"))
+    ordered = places.select(F.lit("").alias("sig"), F.col("id").alias("item"), F.col("gpos").alias("spos"))
     return ranking.backfill_candidates(needs, taken, ordered).select("query_id", "item")
 
 
