@@ -66,9 +66,12 @@ def read_queries(source: str | DataFrame, spark: SparkSession | None = None) ->
 
 
 def resolve_queries(queries: DataFrame, cfg: EngineConfig, as_of=None) -> DataFrame:
-    """Usable queries, one row per id, with engine defaults filled in."""
-    if "error" in queries.columns:
-        queries = queries.where("error is null").drop("error")
+    """Usable queries, one row per id, with engine defaults filled in.
+
+    Of several rows with one id the greatest usable one counts. Unusable rows are
+    dropped after that step: a filter on parsed text would otherwise be moved down to
+    the scan and parse every row once more.
+    """
     now = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
     names = F.array(*[F.lit(n) for n in cfg.model_event_names])
     filled = {
@@ -80,6 +83,8 @@ def resolve_queries(queries: DataFrame, cfg: EngineConfig, as_of=None) -> DataFr
         "current_date": now,
         "event_names": names,
     }
-    return queries.dropDuplicates(["query_id"]).withColumns(
-        {c: F.coalesce(F.col(c), default) for c, default in filled.items()}
-    )
+    usable = F.col("error").isNull() if "error" in queries.columns else F.lit(True)
+    rest = [c for c in queries.columns if c not in ("query_id", "error")]
+    chosen = F.max(F.struct(usable.alias("_usable"), F.struct(*rest).alias("_q"))).alias("_row")
+    once = queries.groupBy("query_id").agg(chosen).where("_row._usable").select("query_id", "_row._q.*")
+    return once.withColumns({c: F.coalesce(F.col(c), default) for c, default in filled.items()})
