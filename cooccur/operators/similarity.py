@@ -21,16 +21,12 @@ from pyspark.sql import functions as F
 
 from cooccur.config import Indicator
 from cooccur.functions.scores import llr
-from cooccur.operators.prepare import (
-    downsample,
-    interaction_counts,
-    per_event,
-    primary_user_count,
-    restrict_to_primary_users,
-)
+from cooccur.operators.numbering import number_rows
+from cooccur.operators.prepare import downsample, per_event, restrict_to_primary_users
 from cooccur.session import freeze
 
 TILE = 1024
+PAIRS_PER_PARTITION = 4_000_000
 
 
 def tile_users(left: DataFrame, right: DataFrame, tile: int = TILE):
@@ -127,9 +123,12 @@ def min_llr(corr: DataFrame, threshold: float | Column | None = None) -> DataFra
     return corr.where(F.col("llr") >= threshold)
 
 
-def top_correlators(corr: DataFrame, k: int | dict[str, int]) -> DataFrame:
-    """The ``k`` strongest correlators per action and item, with their ``rank``."""
-    keys = [c for c in ("action", "item") if c in corr.columns]
+def top_correlators(corr: DataFrame, k: int | dict) -> DataFrame:
+    """The ``k`` strongest correlators per action and item, with their ``rank``.
+
+    ``k`` may differ by action. The item leads the sort key: it tells most rows apart.
+    """
+    keys = [c for c in ("item", "action") if c in corr.columns]
     strongest = W.partitionBy(*keys).orderBy(F.desc("llr"), F.asc("correlator"))
     widest = max(k.values()) if isinstance(k, dict) else k
     top = corr.withColumn("rank", F.row_number().over(strongest)).where(F.col("rank") <= widest)
@@ -155,6 +154,21 @@ def correlator_lists(corr: DataFrame, actions: Sequence[str]) -> DataFrame:
     return corr.groupBy("item").agg(*[ranked(a) for a in actions])
 
 
+def _pair_work(counted: DataFrame) -> tuple[int, int]:
+    """How many primary users there are, and the partitions their pairs need.
+
+    The join on ``user`` multiplies its input by the items per user, so neither the
+    input size nor what adaptive execution makes of it says how much work a partition
+    becomes.
+    """
+    per_user = counted.groupBy("user").agg(
+        F.count_if(F.col("event") == 0).alias("l"), F.count("*").alias("r")
+    )
+    users, emitted = per_user.agg(F.count_if(F.col("l") > 0), F.sum(F.col("l") * F.col("r"))).first()
+    parallel = counted.sparkSession.sparkContext.defaultParallelism
+    return users, max(parallel, -(-(emitted or 0) // PAIRS_PER_PARTITION))
+
+
 def indicators(
     actions: DataFrame,
     specs: Sequence[Indicator],
@@ -169,36 +183,59 @@ def indicators(
 
     The capped rows are frozen, so the log is read once; the cap treats each user on
     their own, so restricting the users afterwards gives the same rows as before.
+    Items are numbered in the order of their ids: pairs are counted, scored and
+    ranked as plain numbers and named again when only the top k are left.
     """
     primary = specs[0].name
     caps = {s.name: s.max_items_per_user for s in specs}
     kept = freeze(downsample(actions.where(F.col("event").isin(list(caps))), caps, seed))
     kept = restrict_to_primary_users(kept, primary)
-    counted = freeze(kept.join(interaction_counts(kept), ["event", "item"]))
-    n_users = primary_user_count(counted, primary).scalar()
-
-    left = counted.where(F.col("event") == primary).select(
-        "user", "item", F.col("n_users").alias("ca")
+    per_item = kept.groupBy("item").agg(
+        F.array(*[F.count_if(F.col("event") == s.name) for s in specs]).alias("counts")
     )
-    right = counted.select("user", "event", "item", F.col("n_users").alias("cb"))
-    is_primary = F.col("event") == primary
-    half = (
+    names = number_rows(per_item, [F.asc("item")], "item_no")
+    event_no = per_event(None, {s.name: i for i, s in enumerate(specs)}).cast("int")
+    counted = freeze(
+        kept.withColumn("event", event_no)
+        .join(names, "item")
+        .select(
+            "user", "event", F.col("item_no").alias("item"),
+            F.get("counts", F.col("event")).alias("n_users"),
+        )
+    )
+    n_users, partitions = _pair_work(counted)
+    spread = counted.repartition(partitions, "user")
+    left = spread.where("event = 0").select("user", "item", F.col("n_users").alias("ca"))
+    right = spread.select("user", "event", "item", F.col("n_users").alias("cb"))
+    pairs = (
         _pairs(left, right, max(caps.values()), tile)
-        .where(~is_primary | (F.col("item") < F.col("correlator")))
+        .where("event <> 0 or item < correlator")
         .groupBy("event", "item", "correlator")
         .agg(F.count("*").alias("k11"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
-        .withColumn("llr", llr(F.col("k11"), F.col("ca"), F.col("cb"), n_users))
+        .withColumn("llr", llr(F.col("k11"), F.col("ca"), F.col("cb"), F.lit(n_users)))
     )
-    thresholds = {s.name: s.min_llr for s in specs if s.min_llr is not None}
-    low = per_event(None, thresholds).cast("double")
-    strong = half.where(F.when(low.isNull(), F.col("llr") > 0).otherwise(F.col("llr") >= low))
+    low = F.lit(None).cast("double")
+    for i, spec in enumerate(specs):
+        if spec.min_llr is not None:
+            low = F.when(F.col("event") == i, F.lit(float(spec.min_llr))).otherwise(low)
+    strong = pairs.where(F.when(low.isNull(), F.col("llr") > 0).otherwise(F.col("llr") >= low))
 
     forward = F.struct(F.col("item").alias("a"), F.col("correlator").alias("b"))
     mirror = F.struct(F.col("correlator").alias("a"), F.col("item").alias("b"))
-    directed = F.when(is_primary, F.array(forward, mirror)).otherwise(F.array(forward))
+    directed = F.when(F.col("event") == 0, F.array(forward, mirror)).otherwise(F.array(forward))
     corr = strong.select(
         F.col("event").alias("action"), F.explode(directed).alias("p"), "llr"
     ).select("action", F.col("p.a").alias("item"), F.col("p.b").alias("correlator"), "llr")
-    return top_correlators(corr, {s.name: s.max_correlators_per_item for s in specs}).select(
-        "action", "item", "correlator", "llr", "rank"
+    top = top_correlators(corr, {i: s.max_correlators_per_item for i, s in enumerate(specs)})
+
+    def name_of(column: str, alias: str) -> DataFrame:
+        return names.select(F.col("item_no").alias(column), F.col("item").alias(alias))
+
+    return (
+        top.join(name_of("item", "_item"), "item")
+        .join(name_of("correlator", "_correlator"), "correlator")
+        .select(
+            F.element_at(F.array(*[F.lit(s.name) for s in specs]), F.col("action") + 1).alias("action"),
+            F.col("_item").alias("item"), F.col("_correlator").alias("correlator"), "llr", "rank",
+        )
     )

@@ -308,24 +308,29 @@ def _primary(spark, sf) -> DataFrame:
     return pairs.where(F.col("event") == "purchase").select("user", "item")
 
 
-def _secondary(spark, sf) -> DataFrame:
-    pairs = prepare.restrict_to_primary_users(prepare.binarize(_e_actions(spark, sf)), "purchase")
-    return pairs.where(F.col("event") == "view").select("user", "item")
+def _buyers_pairs(spark, sf) -> DataFrame:
+    pairs = prepare.binarize(_e_actions(spark, sf).where(F.col("event").isin("purchase", "view")))
+    return prepare.restrict_to_primary_users(pairs, "purchase")
 
 
 def _scored(spark, sf) -> DataFrame:
-    pairs = prepare.restrict_to_primary_users(prepare.binarize(_e_actions(spark, sf)), "purchase")
+    pairs = freeze(prepare.downsample(_buyers_pairs(spark, sf), 500, 1))
     counts = prepare.interaction_counts(pairs)
-    of = {e: counts.where(F.col("event") == e).select("item", "n_users") for e in ("purchase", "view")}
-    crossed = similarity.cross_occurrence(_primary(spark, sf), _secondary(spark, sf))
+    primary, secondary = (
+        pairs.where(F.col("event") == e).select("user", "item") for e in ("purchase", "view")
+    )
+    of_primary, of_secondary = (
+        counts.where(F.col("event") == e).select("item", "n_users") for e in ("purchase", "view")
+    )
+    crossed = similarity.cross_occurrence(primary, secondary, cap=500)
     return similarity.score_pairs(
-        crossed, of["purchase"], of["view"], prepare.primary_user_count(pairs, "purchase")
+        crossed, of_primary, of_secondary, prepare.primary_user_count(pairs, "purchase")
     )
 
 
 @register
 def cooccurrence(spark, sf):
-    return similarity.cooccurrence(_primary(spark, sf), cap=500)
+    return similarity.cooccurrence(_primary(spark, sf))
 
 
 @register
@@ -335,7 +340,12 @@ def cooccurrence_tiled(spark, sf):
 
 @register
 def cross_occurrence(spark, sf):
-    return similarity.cross_occurrence(_primary(spark, sf), _secondary(spark, sf))
+    """Uncapped: heavy users are cut into tiles."""
+    pairs = freeze(_buyers_pairs(spark, sf))
+    primary, secondary = (
+        pairs.where(F.col("event") == e).select("user", "item") for e in ("purchase", "view")
+    )
+    return similarity.cross_occurrence(primary, secondary)
 
 
 @register
