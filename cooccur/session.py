@@ -41,9 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
     return created
 
 
+def session_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/cooccur-{spark.sparkContext.applicationId}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path nobody has written to yet, below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path nobody has written to yet, below the application's folder."""
+    return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def freeze(df: DataFrame) -> DataFrame:
@@ -51,8 +56,14 @@ def freeze(df: DataFrame) -> DataFrame:
 
     Used where a result feeds several branches of a plan: it is computed once, the
     branches keep column pruning and file statistics, and a lost executor costs a
-    re-read, not a recomputation.
+    re-read, not a recomputation. :func:`release` removes the tables.
     """
     path = fresh_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove the application's intermediate tables; frames built on them become unreadable."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
