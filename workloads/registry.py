@@ -581,7 +581,9 @@ def q_backfill(spark, sf):
     places = rec.number_items(_served(spark, sf, recs_model=RecsModel.BACKFILL), cfg)
     needs = asked.select("query_id", F.lit("").alias("sig"), F.col("num").cast("bigint").alias("need"))
     taken = ranking.exclusions(asked, log, (), "purchase").withColumn("sig", F.lit(""))
-    ordered = places.select(F.lit("").alias("sig"), F.col("id").alias("item"), F.col("gpos").alias("spos"))
+    ordered = freeze(
+        places.select(F.lit("").alias("sig"), F.col("id").alias("item"), F.col("gpos").alias("spos"))
+    )
     return ranking.backfill_candidates(needs, taken, ordered).select("query_id", "item")
 
 
