@@ -16,7 +16,7 @@ from cooccur.operators.prepare import binarize, min_events_per_user
 from cooccur.operators.properties import aggregate_properties, extract_typed, props_to_map
 from cooccur.operators.similarity import correlator_lists, indicators
 from cooccur.sources.events import scan_events, split_actions
-from cooccur.sources.store import field_types, model_fields
+from cooccur.sources.store import field_types, property_types
 
 
 def sanity_check(actions: DataFrame, props: DataFrame | None, primary_event: str) -> None:
@@ -56,10 +56,9 @@ def rankings(events: DataFrame, props: DataFrame, cfg: EngineConfig, as_of=None)
 
 def typed_fields(props: DataFrame, cfg: EngineConfig, types: dict[str, str] | None = None) -> DataFrame:
     """(id, one typed column per property). The schema is discovered unless given."""
-    maps = props_to_map(props)
     if types is None:
-        types = field_types(model_fields(maps, cfg.date_names, cfg.rank_names))
-    return extract_typed(maps, cfg.date_names, cfg.rank_names, types).withColumnRenamed("item", "id")
+        types = field_types(property_types(props, cfg.date_names, cfg.rank_names))
+    return extract_typed(props_to_map(props), cfg.date_names, cfg.rank_names, types).withColumnRenamed("item", "id")
 
 
 def assemble(parts: list[DataFrame]) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -63,6 +65,12 @@ def freeze(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def freeze_all(*frames: DataFrame) -> list[DataFrame]:
+    """Freeze independent frames at the same time, so one job's stragglers do not idle the cluster."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(inheritable_thread_target(frames[0].sparkSession)(freeze), frames))
+
+
 def release(spark: SparkSession) -> None:
     """Remove the application's intermediate tables; frames built on them become unreadable."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_dir(spark))

@@ -117,21 +117,20 @@ def load_bundle(spark: SparkSession, path: str, names: Iterable[str] = BUNDLE) -
     return {name: spark.read.parquet(f"{path}/{name}") for name in names}
 
 
-def model_fields(
-    maps: DataFrame, date_names: Iterable[str] = (), rank_names: Iterable[str] = ()
+def property_types(
+    props: DataFrame, date_names: Iterable[str] = (), rank_names: Iterable[str] = ()
 ) -> DataFrame:
-    """(key, type) of all properties found in (item, props MAP).
+    """(key, type) of all properties in PROPS.
 
     Dates and ranks go by name; a key holding any JSON array becomes an array.
     """
-    keys = maps.select(F.explode("props").alias("key", "value"))
     is_array = F.bool_or(F.coalesce(F.ltrim("value").startswith("["), F.lit(False)))
     scalar = (
         F.when(F.col("key").isin(list(date_names)), "timestamp_ntz")
         .when(F.col("key").isin(list(rank_names)), "double")
         .otherwise("string")
     )
-    return keys.groupBy("key").agg(is_array.alias("_array")).select(
+    return props.groupBy("key").agg(is_array.alias("_array")).select(
         "key",
         F.when(F.col("_array"), F.concat(F.lit("array<"), scalar, F.lit(">")))
         .otherwise(scalar)
@@ -139,6 +138,13 @@ def model_fields(
     )
 
 
+def model_fields(
+    maps: DataFrame, date_names: Iterable[str] = (), rank_names: Iterable[str] = ()
+) -> DataFrame:
+    """(key, type) of all properties in (item, props MAP)."""
+    return property_types(maps.select(F.explode("props").alias("key", "value")), date_names, rank_names)
+
+
 def field_types(fields: DataFrame) -> dict[str, str]:
     """The discovered schema on the driver: one entry per property name."""
     return {r["key"]: r["type"] for r in fields.orderBy("key").collect()}
