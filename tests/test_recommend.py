@@ -143,7 +143,10 @@ CONFIGS = {
 
 
 @pytest.mark.parametrize("name, partitions", [(n, 4) for n in CONFIGS] + [("plain", 1), ("shared", 7)])
-def test_equals_direct_evaluation(spark, name, partitions):
+def test_equals_direct_evaluation(spark, monkeypatch, name, partitions):
+    if name == "dates":  # many small slices of the catalog
+        monkeypatch.setattr("cooccur.plans.recommend.FIRST_SLICE", 4)
+        monkeypatch.setattr("cooccur.plans.recommend.SLICE_GROWTH", 3)
     rng = random.Random(len(name))
     model, events, queries = make_model(rng), make_events(rng), make_queries(rng)
     cfg = EngineConfig(**{**BASE, **CONFIGS[name]})
