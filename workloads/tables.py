@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cooccur import EngineConfig, Field, Indicator, Ranking
+from cooccur import EngineConfig, Indicator, Ranking
 
 AS_OF = "2024-01-31 00:00:00"
 CURRENT_DATE = "1997-01-01 00:00:00"
