@@ -6,13 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cooccur.llm import mixing
+from cooccur.llm import mixing, records
 
 #: Fixed by the contract of the mixing query: weights dealt to the sources in order, most repetitions.
 MIX_WEIGHTS = (5, 2, 1)
 MIX_EPOCHS = 3
 
 
+#: Fixed by the contract of the token query.
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -22,7 +33,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "times")
 
 
+def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = records.token_records(docs, tokenizer=tokenizer_path(), end_id=END_ID)
+    return found.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op10_token_records": op10_token_records,
 }
 ORACLES: dict[str, str] = {}
