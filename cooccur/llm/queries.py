@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cooccur.llm import mixing, records
+from cooccur.llm import decontaminate, mixing, records
 
 #: Fixed by the contract of the mixing query: weights dealt to the sources in order, most repetitions.
 MIX_WEIGHTS = (5, 2, 1)
@@ -33,6 +34,17 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "times")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, hits, items = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    named = items.groupBy("text_key").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
+    n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    return docs.join(hits.join(named, "text_key", "left"), "text_key", "left").select(
+        "doc_id", "n_words", n_hit.alias("n_hit"),
+        F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
+        F.sha2(F.coalesce(F.array_join("ids", ","), F.lit("")), 256).alias("items_sha256"),
+        decontaminate.contaminated(n_hit, F.col("n_words")).alias("contaminated"))
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = records.token_records(docs, tokenizer=tokenizer_path(), end_id=END_ID)
@@ -41,6 +53,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op4_decontaminate": op4_decontaminate,
     "op10_token_records": op10_token_records,
 }
 ORACLES: dict[str, str] = {}
