@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cooccur.llm import decontaminate, mixing, records
+from cooccur.llm import decontaminate, minhash, mixing, records
 
 #: Fixed by the contract of the mixing query: weights dealt to the sources in order, most repetitions.
 MIX_WEIGHTS = (5, 2, 1)
 MIX_EPOCHS = 3
 
 
+#: Fixed by the contract of the near-duplicate query.
+LINK_WORDS = 3
+LINK_PERCENT = 85
 #: Fixed by the contract of the token query.
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
@@ -45,6 +48,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontaminate.contaminated(n_hit, F.col("n_words")).alias("contaminated"))
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), size=LINK_WORDS, percent=LINK_PERCENT)
+    return found.select("doc_id", "n_shingles", "component_id", minhash.kept(found).alias("kept"))
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = records.token_records(docs, tokenizer=tokenizer_path(), end_id=END_ID)
@@ -54,6 +62,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_decontaminate": op4_decontaminate,
+    "op5_minhash": op5_minhash,
     "op10_token_records": op10_token_records,
 }
 ORACLES: dict[str, str] = {}
