@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cooccur.session import freeze, fresh_path
 
-__all__ = ["freeze", "fresh_path", "unused", "arrow_rows", "scalar_row", "learnable"]
+__all__ = ["freeze", "fresh_path", "unused", "arrow_rows", "scalar_row", "learnable", "text_digest", "without_texts"]
 
 
 def unused(df: DataFrame, label: str) -> str:
@@ -46,3 +46,15 @@ def learnable(doc_id: str | Column, folds: int) -> Column:
     """
     text = F.coalesce((F.col(doc_id) if isinstance(doc_id, str) else doc_id).cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % folds != 0
+
+
+def text_digest(text: str) -> Column:
+    """A digest by which equal texts are found again; a null text is an empty one."""
+    return F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary"))
+
+
+def without_texts(docs: DataFrame, bad: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text has its digest in the only column of ``bad``."""
+    key = unused(docs, "text_key")
+    return docs.withColumn(key, text_digest(text)).join(bad.toDF(key), key, "left_anti").select(
+        *[F.col(f"`{c}`") for c in docs.columns])

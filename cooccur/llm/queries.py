@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cooccur.llm import decontaminate, minhash, mixing, records
+from cooccur.llm import decontaminate, minhash, mixing, records, rules
 
 #: Fixed by the contract of the mixing query: weights dealt to the sources in order, most repetitions.
 MIX_WEIGHTS = (5, 2, 1)
@@ -53,6 +53,12 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", minhash.kept(found).alias("kept"))
 
 
+def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.cascade(table(spark, sf_dir, "documents"), keep=("doc_id",), statistics=True)
+    return found.withColumn("base_failed", rules.base_failed()).withColumn(
+        "kept", F.col("rejected_by").isNull() & ~F.col("base_failed")).drop("rejected_by")
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = records.token_records(docs, tokenizer=tokenizer_path(), end_id=END_ID)
@@ -63,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_decontaminate": op4_decontaminate,
     "op5_minhash": op5_minhash,
+    "op8_rule_cascade": op8_rule_cascade,
     "op10_token_records": op10_token_records,
 }
 ORACLES: dict[str, str] = {}
