@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cooccur.llm import decontaminate, minhash, mixing, records, rules
+from cooccur.llm import decontaminate, minhash, mixing, records, rules, toxicity
+from cooccur.llm.frames import learnable
 
 #: Fixed by the contract of the mixing query: weights dealt to the sources in order, most repetitions.
 MIX_WEIGHTS = (5, 2, 1)
@@ -53,6 +54,13 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", minhash.kept(found).alias("kept"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", (~learnable("doc_id", toxicity.FOLDS)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.cascade(table(spark, sf_dir, "documents"), keep=("doc_id",), statistics=True)
     return found.withColumn("base_failed", rules.base_failed()).withColumn(
@@ -69,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op4_decontaminate": op4_decontaminate,
     "op5_minhash": op5_minhash,
+    "op6_toxicity": op6_toxicity,
     "op8_rule_cascade": op8_rule_cascade,
     "op10_token_records": op10_token_records,
 }
