@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cooccur.llm import decontaminate, minhash, mixing, records, rules, toxicity
+from cooccur.llm import classlm, decontaminate, minhash, mixing, records, rules, toxicity
 from cooccur.llm.frames import learnable
 
 #: Fixed by the contract of the mixing query: weights dealt to the sources in order, most repetitions.
@@ -38,6 +38,12 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken", "times")
 
 
+def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = classlm.score_texts(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, hits, items = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     named = items.groupBy("text_key").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
@@ -75,6 +81,7 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_class_lm": op2_class_lm,
     "op4_decontaminate": op4_decontaminate,
     "op5_minhash": op5_minhash,
     "op6_toxicity": op6_toxicity,
