@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cooccur.llm import classlm, decontaminate, minhash, mixing, records, rules, toxicity
+from cooccur.llm import classlm, decontaminate, licenses, minhash, mixing, records, rules, secrets, toxicity, transcripts
 from cooccur.llm.frames import learnable
 
 #: Fixed by the contract of the mixing query: weights dealt to the sources in order, most repetitions.
@@ -44,6 +44,10 @@ def op2_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, hits, items = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     named = items.groupBy("text_key").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
@@ -67,12 +71,20 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transcripts.recovered(table(spark, sf_dir, "conversations"))
+
+
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.cascade(table(spark, sf_dir, "documents"), keep=("doc_id",), statistics=True)
     return found.withColumn("base_failed", rules.base_failed()).withColumn(
         "kept", F.col("rejected_by").isNull() & ~F.col("base_failed")).drop("rejected_by")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = records.token_records(docs, tokenizer=tokenizer_path(), end_id=END_ID)
@@ -82,10 +94,13 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_class_lm": op2_class_lm,
+    "op3_license_scan": op3_license_scan,
     "op4_decontaminate": op4_decontaminate,
     "op5_minhash": op5_minhash,
     "op6_toxicity": op6_toxicity,
+    "op7_chat_roles": op7_chat_roles,
     "op8_rule_cascade": op8_rule_cascade,
+    "op9_secret_scan": op9_secret_scan,
     "op10_token_records": op10_token_records,
 }
 ORACLES: dict[str, str] = {}
