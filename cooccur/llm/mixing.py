@@ -168,5 +168,4 @@ def apply_mix(
         F.col("src").alias("_plan_src"), F.struct("whole", "head", "last").alias("_plan"))
     joined = keyed.join(plan, keyed[key]["src"] == plan["_plan_src"])
     bare = joined.select(F.struct(*[joined[c] for c in docs.columns]).alias("_row"), joined[key].alias("_mix"), "_plan.*")
-    return bare.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), _times("_mix"))).alias("_nth")) \
-        .select("_row.*") if docs.columns else docs
+    return bare.select("_row", F.explode(F.array_repeat(F.lit(0), _times("_mix").cast("int"))).alias("_nth")).select("_row.*")
