@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from cooccur.llm import classlm, decontaminate, licenses, minhash, mixing, records, rules, secrets, toxicity, transcripts
 from cooccur.llm.frames import learnable
+from cooccur.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 #: Fixed by the contract of the mixing query: weights dealt to the sources in order, most repetitions.
 MIX_WEIGHTS = (5, 2, 1)
@@ -103,4 +106,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_token_records": op10_token_records,
 }
-ORACLES: dict[str, str] = {}

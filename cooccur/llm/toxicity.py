@@ -9,7 +9,8 @@
    is divided. It gives every pattern a posterior. Gold labels set the share of toxic texts and
    a prior of the voters' rates, which weighs as much as all documents do.
 3. Linear classifier. A logistic regression on the firing voters and on dense features of style,
-   trained on posterior labels of the sample, scores all texts.
+   trained on the posterior labels of a bounded sample of texts, half of them with votes, scores
+   all texts.
 
 A score depends on the text alone: equal texts get equal scores, null and empty ones the score
 of a text on which nobody fires. Rows without a label, with a null id or a null label are never
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from cooccur.llm.frames import arrow_rows, freeze, learnable, text_digest, without_texts
 from cooccur.llm.text import chunks
 
-#: Labelled rows that stems are mined from and the classifier is fitted to, at most (about).
+#: Labelled rows that stems are mined from, and texts that the classifier is fitted to, at most (about).
 SAMPLE = 12_000
 #: Stems that become voters, at most.
 STEMS = 64
@@ -266,12 +267,20 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, stems: int
     patterns = freeze(voted.groupBy("fired").agg(F.count("*").alias("n")))
     voted_sample = freeze(votes(learned, voters, ("toxic",)))
     model = label_model(patterns, n, share, *_priors(voters, voted_sample))
-    rows = voted_sample.select(
+    # Texts on which a word or pattern fires are few: they and the calm ones are sampled apart.
+    calm = F.array_contains("fired", n - 1)
+    texts = freeze(voted.groupBy("text_key").agg(F.first("fired").alias("fired"), F.first("dense").alias("dense"), F.count("*").alias("n")))
+    sizes = {r["calm"]: r["count"] for r in texts.groupBy(calm.alias("calm")).count().collect()}
+    part = F.lit(1.0)
+    for kind, size in sizes.items():
+        part = F.when(calm == F.lit(kind), min(1.0, sample / 2 / size)).otherwise(part)
+    chosen = texts.where(F.pmod(F.xxhash64("text_key"), F.lit(1 << 20)) < part * (1 << 20)).withColumn("n", F.col("n") / part)
+    rows = chosen.select(
         array_to_vector(F.concat(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.array_contains("fired", i).cast("double")), "dense")).alias("features"),
-        sigmoid(model.log_odds()).alias("p"))
+        sigmoid(model.log_odds()).alias("p"), "n")
     both = freeze(rows.select("features", F.explode(F.array(
-        F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
-        F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")))).alias("_l")).select("features", "_l.*").where("weight > 0.001"))
+        F.struct(F.lit(1.0).alias("label"), (F.col("p") * F.col("n")).alias("weight")),
+        F.struct(F.lit(0.0).alias("label"), ((1 - F.col("p")) * F.col("n")).alias("weight")))).alias("_l")).select("features", "_l.*").where("weight > 0.001"))
     if both.select("label").distinct().count() < 2:
         return Scorer(voters, model.bias, model.weights, [0.0] * len(DENSE)), voted
     linear = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=60, standardization=False).fit(both)
