@@ -6,16 +6,13 @@ import re
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-# Limits and names a caller gets when a parameter is left out.
-DEFAULT_MAX_EVENTS_PER_EVENT_TYPE = 500
+# Limits and names a caller gets when a parameter is left out. Events are not
+# limited unless a caller asks for it.
 DEFAULT_MAX_CORRELATORS_PER_EVENT_TYPE = 50
-DEFAULT_MAX_QUERY_EVENTS = 100
 DEFAULT_NUM = 10
 DEFAULT_BIAS = 1.0
 DEFAULT_RETURN_SELF = False
 DEFAULT_RANKING_DURATION = "3650 days"
-DEFAULT_AVAILABLE_DATE_NAME = "availableDate"
-DEFAULT_DATE_NAME = "date"
 DEFAULT_SEED = 1
 
 
@@ -93,10 +90,10 @@ class Field:
 
 @dataclass(frozen=True)
 class Indicator:
-    """How one event type contributes to the correlators."""
+    """How one event type contributes to the correlators; all items of a user, unless capped."""
 
     name: str
-    max_items_per_user: int = DEFAULT_MAX_EVENTS_PER_EVENT_TYPE
+    max_items_per_user: int | None = None
     max_correlators_per_item: int = DEFAULT_MAX_CORRELATORS_PER_EVENT_TYPE
     min_llr: float | None = None
 
@@ -141,8 +138,8 @@ class EngineConfig:
     indicators: tuple[Indicator, ...] = ()
     recs_model: str = RecsModel.ALL
     blacklist_events: tuple[str, ...] = ()
-    max_query_events: int = DEFAULT_MAX_QUERY_EVENTS
-    max_events_per_event_type: int = DEFAULT_MAX_EVENTS_PER_EVENT_TYPE
+    max_query_events: int | None = None
+    max_events_per_event_type: int | None = None
     max_correlators_per_event_type: int = DEFAULT_MAX_CORRELATORS_PER_EVENT_TYPE
     num: int = DEFAULT_NUM
     user_bias: float = DEFAULT_BIAS

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cooccur.config import EventWindow, parse_duration, parse_instant
 from cooccur.operators.properties import SET, UNSET, latest_values, property_changes
 from cooccur.sources.events import EVENT_COLUMNS, as_time_of
+from cooccur.sources.store import publish_model, read_model
 
 BUSINESS_KEY = [c for c in EVENT_COLUMNS if c not in ("event_id", "creation_time")]
 
@@ -82,7 +83,7 @@ def remove_events(events: DataFrame, ids: DataFrame) -> DataFrame:
 def clean_events(events: DataFrame, window: EventWindow, as_of) -> tuple[DataFrame, DataFrame]:
     """(kept events, removed ids): window, then duplicates, then compression.
 
-    Nothing is changed in place; publish the kept events as a new version.
+    Nothing is changed in place; :func:`publish_cleaned` makes the kept events a version.
     """
     kept = events.select(*EVENT_COLUMNS)
     if window.duration is not None:
@@ -93,3 +94,16 @@ def clean_events(events: DataFrame, window: EventWindow, as_of) -> tuple[DataFra
         kept = compress_properties(kept)
     removed = events.select("event_id").join(kept.select("event_id"), "event_id", "left_anti")
     return kept, removed
+
+
+def publish_cleaned(
+    events: DataFrame, window: EventWindow, as_of, root: str, name: str = "events"
+) -> tuple[DataFrame, DataFrame]:
+    """(published events, removed ids): clean and publish the kept events as a new version of ``name``.
+
+    Both frames are read from the version just written.
+    """
+    kept, _ = clean_events(events, window, as_of)
+    publish_model(kept, root, name)
+    published = read_model(events.sparkSession, root, name)
+    return published, events.select("event_id").join(published.select("event_id"), "event_id", "left_anti")

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cooccur.functions.scores import hash_order
+from cooccur.session import allow_group_limit
 
 INTERACTION = ["event", "user", "item"]
 
@@ -40,24 +41,34 @@ def per_event(default, by_event: dict[str, object] | None) -> Column:
 
 def downsample(
     actions: DataFrame,
-    max_per_user: int | dict[str, int],
+    max_per_user: int | None | dict[str, int | None],
     seed: int,
     max_per_item: int | None = None,
 ) -> DataFrame:
     """Cap the items of a user per event type, and optionally the users of an item.
 
     A reproducible random choice: rows are ordered by a digest of seed, user and
-    item. ``max_per_user`` may differ by event type. The constant bound lets Spark
-    discard surplus rows of a heavy user inside each map task, before the shuffle.
+    item. ``max_per_user`` may differ by event type; where it is None all rows stay. The
+    constant bound lets Spark discard surplus rows of a heavy user inside each map task,
+    before the shuffle.
     """
-    caps = max_per_user if isinstance(max_per_user, dict) else None
-    widest = max(caps.values()) if caps else max_per_user
-    order = [hash_order(F.lit(str(seed)), "user", "item"), F.col("item")]
-    by_user = W.partitionBy("event", "user").orderBy(*order)
-    kept = actions.withColumn("_nth", F.row_number().over(by_user)).where(F.col("_nth") <= widest)
-    if caps and len(set(caps.values())) > 1:
-        kept = kept.where(F.col("_nth") <= per_event(widest, caps))
-    kept = kept.drop("_nth")
+    if isinstance(max_per_user, dict):
+        caps = {event: cap for event, cap in max_per_user.items() if cap is not None}
+        capped = F.col("event").isin(list(caps)) if len(caps) < len(max_per_user) else F.lit(True)
+    else:
+        caps, capped = {None: max_per_user} if max_per_user is not None else {}, F.lit(True)
+    kept = actions
+    if caps:
+        widest = max(caps.values())
+        allow_group_limit(actions.sparkSession, widest)
+        order = [hash_order(F.lit(str(seed)), "user", "item"), F.col("item")]
+        by_user = W.partitionBy("event", "user").orderBy(*order)
+        kept = actions.where(capped).withColumn("_nth", F.row_number().over(by_user)).where(F.col("_nth") <= widest)
+        if len(set(caps.values())) > 1:
+            kept = kept.where(F.col("_nth") <= per_event(widest, caps))
+        kept = kept.drop("_nth")
+        if isinstance(max_per_user, dict) and len(caps) < len(max_per_user):
+            kept = kept.unionByName(actions.where(~capped))
     if max_per_item is not None:
         order = [hash_order(F.lit(str(seed)), "user", "item"), F.col("user")]
         by_item = W.partitionBy("event", "item").orderBy(*order)

@@ -3,10 +3,10 @@
 The work is one equi-join on ``user`` and one aggregation by item pair. What keeps
 it bounded:
 
-* a user's items are capped beforehand by :func:`prepare.downsample`, the sampling
-  step of the method, so a user yields at most cap x cap pairs;
-* without a cap, :func:`tile_users` cuts the work of heavy users into tiles of equal
-  size which land on different tasks, and no pair is lost;
+* :func:`tile_users` cuts the work of heavy users into tiles of equal size which land
+  on different tasks, and no pair is lost;
+* a caller may cap a user's items beforehand by :func:`prepare.downsample`, so that a
+  user yields at most cap x cap pairs;
 * item counts travel with the rows into the join, so the pair table - by far the
   largest - is shuffled for its own aggregation and for the top-k only.
 """
@@ -23,7 +23,7 @@ from cooccur.config import Indicator
 from cooccur.functions.scores import llr
 from cooccur.operators.numbering import number_rows
 from cooccur.operators.prepare import downsample, per_event, restrict_to_primary_users
-from cooccur.session import freeze
+from cooccur.session import allow_group_limit, freeze
 
 TILE = 1024
 PAIRS_PER_PARTITION = 4_000_000
@@ -131,6 +131,7 @@ def top_correlators(corr: DataFrame, k: int | dict) -> DataFrame:
     keys = [c for c in ("item", "action") if c in corr.columns]
     strongest = W.partitionBy(*keys).orderBy(F.desc("llr"), F.asc("correlator"))
     widest = max(k.values()) if isinstance(k, dict) else k
+    allow_group_limit(corr.sparkSession, widest)
     top = corr.withColumn("rank", F.row_number().over(strongest)).where(F.col("rank") <= widest)
     if isinstance(k, dict) and len(set(k.values())) > 1:
         limit = F.lit(widest)
@@ -169,22 +170,22 @@ def _pair_work(counted: DataFrame) -> tuple[int, int]:
     return users, max(parallel, -(-(emitted or 0) // PAIRS_PER_PARTITION))
 
 
-def indicators(
+def scored_numbers(
     actions: DataFrame,
     specs: Sequence[Indicator],
     seed: int,
     tile: int = TILE,
-) -> DataFrame:
-    """CORR (action, item, correlator, llr, rank) for all event types in one pass.
+    secondary_only: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(pairs, names): every scored pair as numbers, and the item of each number.
 
-    ``actions`` is binarized; the first spec is the primary event, and users without
-    it do not count. Every spec brings its own cap, list length and threshold, and is
-    matched to the data by event name.
+    pairs is (event, item, correlator, k11, ca, cb, llr): ``event`` is a spec's place, items
+    are numbered in the order of their ids. Of the pairs inside the primary event (0) there is
+    one order, item < correlator; ``secondary_only`` leaves them out.
 
-    The capped rows are frozen, so the log is read once; the cap treats each user on
-    their own, so restricting the users afterwards gives the same rows as before.
-    Items are numbered in the order of their ids: pairs are counted, scored and
-    ranked as plain numbers and named again when only the top k are left.
+    The rows are frozen, so the log is read once; a cap treats each user on their own, so
+    restricting the users afterwards gives the same rows as before. Item counts travel with
+    the rows: after their aggregation pairs need no join.
     """
     primary = specs[0].name
     caps = {s.name: s.max_items_per_user for s in specs}
@@ -206,14 +207,40 @@ def indicators(
     n_users, partitions = _pair_work(counted)
     spread = counted.repartition(partitions, "user")
     left = spread.where("event = 0").select("user", "item", F.col("n_users").alias("ca"))
-    right = spread.select("user", "event", "item", F.col("n_users").alias("cb"))
+    right = spread.where(F.col("event") >= int(secondary_only)).select("user", "event", "item", F.col("n_users").alias("cb"))
+    widest = None if None in caps.values() else max(caps.values())
     pairs = (
-        _pairs(left, right, max(caps.values()), tile)
+        _pairs(left, right, widest, tile)
         .where("event <> 0 or item < correlator")
         .groupBy("event", "item", "correlator")
         .agg(F.count("*").alias("k11"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
         .withColumn("llr", llr(F.col("k11"), F.col("ca"), F.col("cb"), F.lit(n_users)))
     )
+    return pairs, names
+
+
+def named(pairs: DataFrame, names: DataFrame) -> DataFrame:
+    """``pairs`` with the items' ids in place of their numbers."""
+    for column in ("item", "correlator"):
+        ids = names.select(F.col("item_no").alias(column), F.col("item").alias("_id"))
+        pairs = pairs.join(ids, column).drop(column).withColumnRenamed("_id", column)
+    return pairs
+
+
+def indicators(
+    actions: DataFrame,
+    specs: Sequence[Indicator],
+    seed: int,
+    tile: int = TILE,
+) -> DataFrame:
+    """CORR (action, item, correlator, llr, rank) for all event types in one pass.
+
+    ``actions`` is binarized; the first spec is the primary event, and users without
+    it do not count. Every spec brings its own cap, list length and threshold, and is
+    matched to the data by event name. Pairs are counted, scored and ranked as plain
+    numbers and named again when only the top k are left.
+    """
+    pairs, names = scored_numbers(actions, specs, seed, tile)
     low = F.lit(None).cast("double")
     for i, spec in enumerate(specs):
         if spec.min_llr is not None:
@@ -227,15 +254,7 @@ def indicators(
         F.col("event").alias("action"), F.explode(directed).alias("p"), "llr"
     ).select("action", F.col("p.a").alias("item"), F.col("p.b").alias("correlator"), "llr")
     top = top_correlators(corr, {i: s.max_correlators_per_item for i, s in enumerate(specs)})
-
-    def name_of(column: str, alias: str) -> DataFrame:
-        return names.select(F.col("item_no").alias(column), F.col("item").alias(alias))
-
-    return (
-        top.join(name_of("item", "_item"), "item")
-        .join(name_of("correlator", "_correlator"), "correlator")
-        .select(
-            F.element_at(F.array(*[F.lit(s.name) for s in specs]), F.col("action") + 1).alias("action"),
-            F.col("_item").alias("item"), F.col("_correlator").alias("correlator"), "llr", "rank",
-        )
+    return named(top, names).select(
+        F.element_at(F.array(*[F.lit(s.name) for s in specs]), F.col("action") + 1).alias("action"),
+        "item", "correlator", "llr", "rank",
     )

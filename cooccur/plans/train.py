@@ -5,6 +5,7 @@ MODEL  id, <event> ARRAY<STRING>..., <rank> DOUBLE..., <metadata> typed...
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,9 @@ from cooccur.operators.popularity import combine_rankings
 from cooccur.operators.prepare import binarize, min_events_per_user
 from cooccur.operators.properties import aggregate_properties, extract_typed, props_to_map
 from cooccur.operators.similarity import correlator_lists, indicators
-from cooccur.sources.events import scan_events, split_actions
+from cooccur.operators.cleaning import clean_events
+from cooccur.sources.events import app_events, scan_events, split_actions
+from cooccur.session import freeze
 from cooccur.sources.store import field_types, property_types
 
 
@@ -35,7 +38,7 @@ def check_mode(mode: str) -> None:
 
 
 def actions_of(events: DataFrame, cfg: EngineConfig) -> DataFrame:
-    return split_actions(scan_events(events, names=cfg.model_event_names), cfg.model_event_names)
+    return split_actions(scan_events(app_events(events, cfg.app_name), names=cfg.model_event_names), cfg.model_event_names)
 
 
 def correlators(events: DataFrame, cfg: EngineConfig) -> DataFrame:
@@ -46,7 +49,7 @@ def correlators(events: DataFrame, cfg: EngineConfig) -> DataFrame:
 
 def rankings(events: DataFrame, props: DataFrame, cfg: EngineConfig, as_of=None) -> DataFrame:
     """RANKS of the configured rankings."""
-    actions = scan_events(events).select(
+    actions = scan_events(app_events(events, cfg.app_name)).select(
         "event", F.col("target_entity_id").alias("item"), F.col("event_time").alias("ts")
     )
     return combine_rankings(
@@ -100,9 +103,15 @@ def train(
     """MODEL for the configured mode.
 
     ``current`` is the published model that ``backfill`` refreshes (``None`` if there
-    is none yet); ``props`` replaces the properties found in the event log.
+    is none yet); ``props`` replaces the properties found in the event log. Only events
+    of the configured app count, after the configured ``event_window`` if there is one.
     """
     check_mode(cfg.recs_model)
+    events = app_events(events, cfg.app_name)
+    if cfg.event_window is not None:
+        now = as_of or datetime.now(UTC).replace(tzinfo=None)
+        cleaned, _ = clean_events(events, cfg.event_window, now)
+        events = freeze(cleaned.withColumn("app", F.lit(cfg.app_name)))
     if props is None:
         props = aggregate_properties(events)
     if check:

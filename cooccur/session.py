@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
@@ -23,10 +22,9 @@ def build_session(app_name: str = "cooccur", **conf) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``).
+    """The cluster's shared folder: ``spark.checkpoint.dir``, else a folder in the warehouse.
 
-    Only a local master may fall back to a temporary folder: on a cluster such a
-    folder exists on one machine and would be lost with it.
+    Both are on file systems that the driver and all executors reach.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -36,9 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    created = tempfile.mkdtemp(prefix="cooccur-")
+    created = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     spark.sparkContext.setCheckpointDir(created)
     return created
 
@@ -53,6 +49,15 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{session_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def allow_group_limit(spark: SparkSession, bound: int) -> None:
+    """Let windows that keep ``bound`` rows of a group drop the others before the shuffle."""
+    if int(spark.conf.get(GROUP_LIMIT)) < bound:
+        spark.conf.set(GROUP_LIMIT, str(bound))
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 

@@ -42,7 +42,9 @@ def scan_events(
     until=None,
 ) -> DataFrame:
     """Events of an app and entity types, ``start <= event_time < until``."""
-    if app is not None and "app" in df.columns:
+    if app is not None:
+        if "app" not in df.columns:
+            raise ValueError("the event log has no column 'app' to select an app by")
         df = df.where(F.col("app") == app)
     if entity_type is not None:
         df = df.where(F.col("entity_type") == entity_type)
@@ -53,6 +55,11 @@ def scan_events(
     return _between(df, "event_time", start, until)
 
 
+def app_events(df: DataFrame, app: str) -> DataFrame:
+    """The events of one app. A log without a column ``app`` is that of a single app."""
+    return scan_events(df, app, None, None) if "app" in df.columns else df
+
+
 def _between(df: DataFrame, column: str, start, until) -> DataFrame:
     if start is not None:
         df = df.where(F.col(column) >= as_time_of(df, column, start))

@@ -65,12 +65,38 @@ def read_queries(source: str | DataFrame, spark: SparkSession | None = None) ->
     )
 
 
+def _by_id(queries: DataFrame) -> DataFrame:
+    """(query_id, _least, _most): the extremes of the usable rows of each id, NULL without any."""
+    usable = F.col("error").isNull() if "error" in queries.columns else F.lit(True)
+    row = F.when(usable, F.struct(*[c for c in queries.columns if c not in ("query_id", "error")]))
+    return queries.groupBy("query_id").agg(F.min(row).alias("_least"), F.max(row).alias("_most"))
+
+
+def rejected_queries(queries: DataFrame) -> DataFrame:
+    """(query_id, error, rows) of the rows of QUERIES that get no answer.
+
+    Unusable rows come with their own error, the usable ones of an id that has several
+    different ones as ``"different queries with one id"``.
+    """
+    several = _by_id(queries).where("_least <> _most").select("query_id", F.lit(True).alias("_several"))
+    ambiguous = F.when(F.col("_several"), F.lit("different queries with one id"))
+    return (
+        queries.select("query_id", "error")
+        .join(several, "query_id", "left")
+        .withColumn("error", F.coalesce("error", ambiguous))
+        .groupBy("query_id", "error")
+        .agg(F.count("*").alias("rows"))
+        .where("error is not null")
+    )
+
+
 def resolve_queries(queries: DataFrame, cfg: EngineConfig, as_of=None) -> DataFrame:
     """Usable queries, one row per id, with engine defaults filled in.
 
-    Of several rows with one id the greatest usable one counts. Unusable rows are
-    dropped after that step: a filter on parsed text would otherwise be moved down to
-    the scan and parse every row once more.
+    Rows of one id that are alike count once; an id with different usable rows is not
+    answered. What is left out here is what :func:`rejected_queries` returns. Unusable
+    rows are dropped after the grouping: a filter on parsed text would otherwise be moved
+    down to the scan and parse every row once more.
     """
     now = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
     names = F.array(*[F.lit(n) for n in cfg.model_event_names])
@@ -83,8 +109,5 @@ def resolve_queries(queries: DataFrame, cfg: EngineConfig, as_of=None) -> DataFr
         "current_date": now,
         "event_names": names,
     }
-    usable = F.col("error").isNull() if "error" in queries.columns else F.lit(True)
-    rest = [c for c in queries.columns if c not in ("query_id", "error")]
-    chosen = F.max(F.struct(usable.alias("_usable"), F.struct(*rest).alias("_q"))).alias("_row")
-    once = queries.groupBy("query_id").agg(chosen).where("_row._usable").select("query_id", "_row._q.*")
+    once = _by_id(queries).where("_least = _most").select("query_id", "_most.*")
     return once.withColumns({c: F.coalesce(F.col(c), default) for c, default in filled.items()})

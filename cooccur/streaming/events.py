@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cooccur.sources.store import current_version, publish_model
+from cooccur.session import freeze
+from cooccur.sources.store import publish_model, read_model
 
 
 def on_event_time(stream: DataFrame, column: str = "event_time") -> DataFrame:
@@ -37,13 +41,23 @@ def stream_popular(events: DataFrame, width: str, watermark: str | None) -> Data
     )
 
 
+def _stream_id(batch: DataFrame, checkpoint: str) -> str:
+    """The id that the running stream keeps in its checkpoint."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return found or hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
+
+
 def append_updates(updates: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write changed aggregates of each batch below ``path`` until the source is drained.
 
-    Every batch overwrites its own folder, so a replayed batch leaves one copy.
+    A batch overwrites its own folder, so a replayed batch leaves one copy. The folder
+    carries the stream's id, which lives in its checkpoint: another checkpoint, whose
+    batches start at 0 again, adds to what is there. ``at`` orders the batches of all.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        run = _stream_id(batch, checkpoint)
+        stamped = batch.withColumn("at", F.lit(time.time_ns()))
+        stamped.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
 
     return (
         updates.writeStream.outputMode("update")
@@ -59,35 +73,45 @@ def latest_updates(spark: SparkSession, path: str, keys: list[str], value: str)
     return (
         spark.read.parquet(path)
         .groupBy(*keys)
-        .agg(F.max_by(value, "batch").alias(value))
+        .agg(F.max_by(value, F.struct("at", "batch")).alias(value))
     )
 
 
 def stream_publish(ranks: DataFrame, root: str, name: str, checkpoint: str) -> StreamingQuery:
-    """Publish a new version of a (window, item, rank) model after every batch.
-
-    The version is the batch id: a batch replayed after a failure finds its version
-    already published and does nothing. Rows of the batch replace rows of the current
-    version with the same window and item.
+    """Publish a new version of a (window, item, rank) model after every batch that brings rows.
+
+    Rows of the batch replace rows of the current version with the same window and item.
+    Every row carries the stream (the id in its checkpoint) and the batch that wrote it last. A
+    batch that the current version already holds - one replayed after a failure - is
+    found by that and changes nothing; a new checkpoint, or a model that a batch job has
+    published, is gone on from. Versions always grow. Rows of windows that the batch does
+    not touch are copied as they are, without a shuffle.
     """
-    keys = ["window_start", "item"]
+    shown = ["window_start", "item", "rank", "_run", "_batch"]
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        version = batch_id + 1
-        published = current_version(spark, root, name)
-        if published is not None and published >= version:
-            # still run the batch: its state has to be committed with it
-            batch.write.format("noop").mode("overwrite").save()
+        spark, run = batch.sparkSession, _stream_id(batch, checkpoint)
+        fresh = freeze(batch.select(
+            F.col("window.start").alias("window_start"), "item", "rank",
+            F.lit(run).alias("_run"), F.lit(batch_id).cast("long").alias("_batch"),
+        ))  # also where nothing follows: the batch's state has to be committed with it
+        old = read_model(spark, root, name)
+        if old is not None:
+            old = old.select(*[F.col(c) if c in old.columns else F.lit(None).alias(c) for c in shown])
+            if not old.where((F.col("_run") == run) & (F.col("_batch") >= batch_id)).isEmpty():
+                return
+        if fresh.isEmpty():
+            return
+        if old is None:
+            publish_model(fresh, root, name)
             return
-        fresh = batch.select(
-            F.col("window.start").alias("window_start"), "item", "rank", F.lit(version).alias("_v")
-        )
-        if published is not None:
-            old = spark.read.parquet(f"{root}/{name}/v={published}").withColumn("_v", F.lit(published))
-            fresh = fresh.unionByName(old)
-        merged = fresh.groupBy(*keys).agg(F.max_by("rank", "_v").alias("rank"))
-        publish_model(merged, root, name, version)
+        touched = fresh.select("window_start").distinct()
+        rest = old.join(touched, "window_start", "left_anti").select(*shown)
+        again = old.join(touched, "window_start", "left_semi").select(*shown).withColumn("_new", F.lit(False))
+        merged = again.unionByName(fresh.withColumn("_new", F.lit(True))).groupBy("window_start", "item").agg(
+            F.max_by(F.struct("rank", "_run", "_batch"), "_new").alias("_last")
+        ).select("window_start", "item", "_last.*")
+        publish_model(rest.unionByName(merged), root, name)
 
     return (
         ranks.writeStream.outputMode("update")

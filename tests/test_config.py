@@ -42,7 +42,8 @@ def test_indicators_come_before_event_names():
 def test_event_names_alone_give_default_indicators():
     cfg = EngineConfig(**BASE, event_names=("buy",), max_events_per_event_type=7)
     assert cfg.effective_indicators == (Indicator("buy", 7, 50),)
-    assert cfg.max_query_events == 100
+    assert cfg.max_query_events is None
+    assert EngineConfig(**BASE, event_names=("buy",)).effective_indicators == (Indicator("buy", None, 50),)
 
 
 def test_rankings_get_defaults_before_they_are_sorted():

@@ -133,3 +133,26 @@ def test_dictionary(spark, rows):
     assert coded.where("n = -1").count() == 1
     assert prepare.decode(coded, "n", first, "id", default="?").where("id = '?'").count() == 1
     assert prepare.take(second, 10).count() == 10
+
+
+def test_a_missing_app_column_is_an_error(micro):
+    with pytest.raises(ValueError, match="app"):
+        scan_events(micro, app="shop")
+    two = micro.withColumn("app", F.when(F.col("entity_id") == "u1", "other").otherwise("shop"))
+    assert scan_events(two, app="shop").where("entity_id = 'u1'").count() == 0
+    assert scan_events(two, app="other").select("entity_id").distinct().count() == 1
+
+
+def test_a_heavy_user_loses_no_pair_by_default(spark):
+    rows = [("buy", "heavy", f"i{i:04d}") for i in range(300)] + [("view", "heavy", f"j{i:04d}") for i in range(20)]
+    actions = spark.createDataFrame(rows, "event string, user string, item string")
+    specs = [Indicator("buy", max_correlators_per_item=1), Indicator("view", max_correlators_per_item=1)]
+    pairs, _ = similarity.scored_numbers(actions, specs, 1, tile=64)
+    assert pairs.where("event = 0").count() == 300 * 299 // 2 and pairs.where("event = 1").count() == 300 * 20
+
+
+def test_downsample_leaves_uncapped_events_alone(spark):
+    actions = spark.createDataFrame([(e, "u", f"i{i}") for e in ("buy", "view") for i in range(9)], "event string, user string, item string")
+    got = {r["event"]: r["count"] for r in prepare.downsample(actions, {"buy": 4, "view": None}, 1).groupBy("event").count().collect()}
+    assert got == {"buy": 4, "view": 9}
+    assert prepare.downsample(actions, None, 1).count() == 18

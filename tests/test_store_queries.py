@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cooccur import EngineConfig
 from cooccur.sources import store
-from cooccur.sources.queries import read_queries, resolve_queries
+from cooccur.sources.queries import read_queries, rejected_queries, resolve_queries
 
 CFG = EngineConfig("a", "i", "t", event_names=("buy",))
 
@@ -81,3 +81,13 @@ def test_queries_from_a_file_get_defaults(spark, tmp_path):
     assert set(got) == {"1", "2"}
     assert got["1"].num == 10 and got["2"].num == 4 and got["2"].user_bias == 2.0
     assert got["1"].event_names == ["buy"] and not got["1"].return_self
+
+
+def test_nothing_vanishes_from_a_batch(spark):
+    texts = ['{"queryId":"1","user":"u"}', '{"queryId":"1","user":"v"}', '{"queryId":"2","user":"u"}',
+             '{"queryId":"2","user":"u"}', '{"queryId":"2","dateRange":{"name":"d"}}', '{"queryId":"3","dateRange":{"name":"d"}}']
+    queries = read_queries(spark.createDataFrame([(t,) for t in texts], "value string"))
+    assert {r.query_id for r in resolve_queries(queries, CFG, "2024-01-01").collect()} == {"2"}
+    got = {(r.query_id, r.error, r.rows) for r in rejected_queries(queries).collect()}
+    bad = "date range without a bound"
+    assert got == {("1", "different queries with one id", 2), ("2", bad, 1), ("3", bad, 1)}

@@ -52,15 +52,40 @@ def test_stream_publish_is_idempotent(spark, landed, tmp_path, rows):
     st.stream_publish(windows, root, "ranks", str(tmp_path / "ck")).awaitTermination()
     version = store.current_version(spark, root, "ranks")
     first = rows(store.read_model(spark, root, "ranks"), "item", "rank")
-    # the same batches again, as after a lost checkpoint, find their versions published
-    st.stream_publish(windows, root, "ranks", str(tmp_path / "ck2")).awaitTermination()
+    assert sum(r for _, r in first) == whole.count()
+    # started again with nothing new, it publishes nothing
+    st.stream_publish(windows, root, "ranks", str(tmp_path / "ck")).awaitTermination()
     assert store.current_version(spark, root, "ranks") == version
+    # a new checkpoint reads all again and replaces its own windows
+    st.stream_publish(windows, root, "ranks", str(tmp_path / "ck2")).awaitTermination()
+    assert store.current_version(spark, root, "ranks") > version
     assert rows(store.read_model(spark, root, "ranks"), "item", "rank") == first
-    assert sum(r for _, r in first) == whole.count()
+
+
+def test_stream_publish_goes_on_from_a_published_model(spark, landed, tmp_path, rows):
+    whole, stream = landed
+    root = str(tmp_path / "models")
+    seed = spark.createDataFrame([("2000-01-01 00:00:00", "old", 5.0)], "s string, item string, rank double")
+    store.publish_model(seed.selectExpr("cast(s as timestamp) window_start", "item", "rank"), root, "ranks")
+    st.stream_publish(st.stream_popular(stream, "3650 days", "60 days"), root, "ranks", str(tmp_path / "ck")).awaitTermination()
+    model = rows(store.read_model(spark, root, "ranks"), "item", "rank")
+    assert ("old", 5.0) in model and sum(r for _, r in model) == whole.count() + 5
+
+
+def test_append_updates_of_two_checkpoints(spark, landed, tmp_path):
+    _, stream = landed
+    out = str(tmp_path / "out")
+    for part, condition in (("a", "target_entity_id = 'a'"), ("rest", "target_entity_id <> 'a'")):
+        windows = st.stream_popular(stream.where(condition), "3650 days", "60 days")
+        st.append_updates(windows, out, str(tmp_path / f"ck-{part}")).awaitTermination()
+    assert {"a", "b", "d", "e"} <= {r["item"] for r in st.latest_updates(spark, out, ["window", "item"], "rank").collect()}
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    from workloads.oracles import ORACLES
+    from workloads.registry import QUERIES
+
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

@@ -89,6 +89,12 @@ def scan_events():
         where event in ('purchase', 'view') and ts >= timestamp '2024-01-05' and ts < timestamp '2024-01-25'""")
 
 
+@oracle
+def two_apps():
+    return statement([EV, ACT], """select event, item, count(*) n, count(distinct u) users from act
+        where cast(u as bigint) % 3 <> 0 and u <> '' and item <> '' group by event, item""")
+
+
 @oracle
 def split_actions():
     return statement([EV, ACT], """select event, u as "user", item, ts from act where u <> '' and item <> ''""")
@@ -303,7 +309,8 @@ def binarize():
 @oracle
 def primary_users():
     return statement([ORD, BIN_O], """select event, u as "user", item from bin
-        where u in (select u from bin where event = 'buy')""")
+        semi join (select distinct o_custkey::varchar u from lineitem join orders on l_orderkey = o_orderkey
+            where l_returnflag = 'N') buyers using (u)""")
 
 
 def numbered(source: str, column: str) -> str:
@@ -380,19 +387,17 @@ LLR = "round(greatest(0.0, 2 * ({} - ({}))), 6)".format(
 )
 
 
-def correlated(primary: str, specs: dict[str, tuple[int, int, str]], seed: int) -> list[str]:
-    """CTEs up to ``corr`` from ``bin``; specs are name: (cap, k, threshold test)."""
-    caps = " ".join(f"when '{e}' then {s[0]}" for e, s in specs.items())
-    ks = " ".join(f"when '{e}' then {s[1]}" for e, s in specs.items())
-    tests = " ".join(f"when '{e}' then llr {s[2]}" for e, s in specs.items())
+def correlated(primary: str, specs: dict[str, tuple[int, str]]) -> list[str]:
+    """CTEs up to ``corr`` from ``bin``; specs are name: (k, threshold test)."""
+    ks = " ".join(f"when '{e}' then {s[0]}" for e, s in specs.items())
+    tests = " ".join(f"when '{e}' then llr {s[1]}" for e, s in specs.items())
     names = ", ".join(f"'{e}'" for e in specs)
     return [
         f"buyers as (select distinct u from bin where event = '{primary}')",
         f"res as (select * from bin where u in (select u from buyers) and event in ({names}))",
-        capped("res", seed, f"case event {caps} end"),
-        "cnt as (select event, item, cast(count(*) as double) c from cap group by event, item)",
+        "cnt as (select event, item, cast(count(*) as double) c from res group by event, item)",
         f"""prs as (select b.event action, a.item, b.item correlator, cast(count(*) as double) k11
-            from cap a join cap b on a.u = b.u
+            from res a join res b on a.u = b.u
             where a.event = '{primary}' and not (b.event = '{primary}' and a.item = b.item)
             group by b.event, a.item, b.item)""",
         f"""sc as (select action, item, correlator, k11, ca, cb, {LLR} llr from (
@@ -406,10 +411,10 @@ def correlated(primary: str, specs: dict[str, tuple[int, int, str]], seed: int)
     ]
 
 
-E_SPECS = {"purchase": (12, 10, "> 0"), "view": (15, 8, ">= 1.5"), "click": (500, 5, "> 0")}
-CORR_E = [EV, ACT, BIN_E, *correlated("purchase", E_SPECS, 1)]
-PLAIN_SPECS = {"purchase": (500, 10, "> 0"), "view": (500, 10, "> 0")}
-PLAIN_E = [EV, ACT, BIN_E, *correlated("purchase", PLAIN_SPECS, 1)]
+E_SPECS = {"purchase": (10, "> 0"), "view": (8, ">= 1.5"), "click": (5, "> 0")}
+CORR_E = [EV, ACT, BIN_E, *correlated("purchase", E_SPECS)]
+PLAIN_SPECS = {"purchase": (10, "> 0"), "view": (10, "> 0")}
+PLAIN_E = [EV, ACT, BIN_E, *correlated("purchase", PLAIN_SPECS)]
 
 
 @oracle
@@ -448,8 +453,8 @@ def cross_llr_topk():
 
 @oracle
 def cross_llr_topk_orders():
-    specs = {"buy": (500, 10, "> 0"), "view": (500, 10, "> 0")}
-    return statement([ORD, BIN_O, *correlated("buy", specs, 1)], "select action, item, correlator, llr, rank from corr")
+    specs = {event: (10, "> 0") for event in ("buy", "view", "cart")}
+    return statement([ORD, BIN_O, *correlated("buy", specs)], "select action, item, correlator, llr, rank from corr")
 
 
 @oracle
@@ -574,12 +579,12 @@ HIST = """hist as (
         select u, event, item, row_number() over (partition by u, event order by ts desc, event_id desc) pos from (
             select *, row_number() over (partition by u, event, item order by ts desc, event_id desc) n from act)
         where n = 1) on u = query_id
-    where pos <= 20 and (event = 'view' or not views_only))"""
+    where event = 'view' or not views_only)"""
 
 SIM = """sim as (
     select query_id, action event, correlator item, rank pos,
            case when item_bias > 0 and item_bias <> 1 then item_bias end boost, item_bias < 0 closing
-    from q join corr on corr.item = self where rank <= 20)"""
+    from q join corr on corr.item = self)"""
 
 TERMS = """terms as (
     select action field, correlator as value, item from corr
@@ -606,6 +611,18 @@ def met_all(kind: str) -> str:
         using (query_id) where met = wanted"""
 
 
+@oracle
+def q_rejects():
+    return statement([EV, ASKED], """select query_id, 'not a query' as error, 1 as rows from asked where uid % 3 = 0
+        union all
+        select query_id, 'different queries with one id', 2 from asked where uid % 3 = 1 and return_self""")
+
+
+@oracle
+def q_history_capped():
+    return statement([EV, ACT, ASKED, HIST], "select query_id, event, item, pos, boost from hist where pos <= 3")
+
+
 @oracle
 def q_history():
     return statement([EV, ACT, ASKED, HIST], "select query_id, event, item, pos, boost from hist")
@@ -721,7 +738,7 @@ def q_serve_first():
             select u query_id, item, cast(count(*) as double) score,
                    case event when 'purchase' then 0 when 'view' then 1 else 2 end algorithm,
                    row_number() over (partition by u, event order by count(*) desc, item) position
-            from act where ts >= timestamp '2024-01-29' group by u, event, item)
+            from act group by u, event, item)
         where position <= 3) where algorithm = first_algorithm""")
 
 

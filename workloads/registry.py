@@ -43,6 +43,15 @@ def scan_events(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register
+def two_apps(spark, sf):
+    """Training on a log of two apps sees the configured one's events."""
+    log = t.event_log(spark, sf).withColumn(
+        "app", F.when(F.col("entity_id").cast("bigint") % 3 == 0, "other").otherwise("shop"))
+    actions = tr.actions_of(log, t.engine())
+    return actions.groupBy("event", "item").agg(F.count("*").alias("n"), F.countDistinct("user").alias("users"))
+
+
 @register
 def split_actions(spark, sf):
     return ev.split_actions(t.event_log(spark, sf), t.E_EVENTS)
@@ -162,7 +171,9 @@ def remove_events(spark, sf):
 
 @register
 def clean_all(spark, sf):
-    kept, _ = cleaning.clean_events(t.full_log(spark, sf), EventWindow("10 days"), t.AS_OF)
+    """Read back from the published version."""
+    root = fresh_path(spark, "cleaned")
+    kept, _ = cleaning.publish_cleaned(t.full_log(spark, sf), EventWindow("10 days"), t.AS_OF, root)
     return kept.select(*_EVENT_OUT, "properties")
 
 
@@ -313,21 +324,18 @@ def _buyers_pairs(spark, sf) -> DataFrame:
     return prepare.restrict_to_primary_users(pairs, "purchase")
 
 
-def _scored(spark, sf) -> DataFrame:
-    pairs = freeze(prepare.downsample(_buyers_pairs(spark, sf), 500, 1))
-    counts = prepare.interaction_counts(pairs)
-    primary, secondary = (
-        pairs.where(F.col("event") == e).select("user", "item") for e in ("purchase", "view")
-    )
-    of_primary, of_secondary = (
-        counts.where(F.col("event") == e).select("item", "n_users") for e in ("purchase", "view")
-    )
-    crossed = similarity.cross_occurrence(primary, secondary, cap=500)
-    return similarity.score_pairs(
-        crossed, of_primary, of_secondary, prepare.primary_user_count(pairs, "purchase")
+def _scored(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Scored pairs of purchases and views by item numbers, and the numbers' items."""
+    actions = prepare.binarize(_e_actions(spark, sf))
+    return similarity.scored_numbers(
+        actions, [Indicator("purchase"), Indicator("view")], 1, secondary_only=True
     )
 
 
+def _named(pairs, names) -> DataFrame:
+    return similarity.named(pairs, names).select("item", "correlator", "k11", "ca", "cb", "llr")
+
+
 @register
 def cooccurrence(spark, sf):
     return similarity.cooccurrence(_primary(spark, sf))
@@ -350,24 +358,38 @@ def cross_occurrence(spark, sf):
 
 @register
 def llr_scores(spark, sf):
-    return _scored(spark, sf)
+    """The operator on plain ids: counts are joined to the pairs."""
+    pairs = freeze(_buyers_pairs(spark, sf))
+    counts = prepare.interaction_counts(pairs)
+    primary, secondary = (
+        pairs.where(F.col("event") == e).select("user", "item") for e in ("purchase", "view")
+    )
+    of_primary, of_secondary = (
+        counts.where(F.col("event") == e).select("item", "n_users") for e in ("purchase", "view")
+    )
+    return similarity.score_pairs(
+        similarity.cross_occurrence(primary, secondary), of_primary, of_secondary,
+        prepare.primary_user_count(pairs, "purchase"),
+    )
 
 
 @register
 def min_llr(spark, sf):
-    return similarity.min_llr(_scored(spark, sf), 2.0)
+    pairs, names = _scored(spark, sf)
+    return _named(similarity.min_llr(pairs, 2.0), names)
 
 
 @register
 def cross_llr_topk(spark, sf):
-    top = similarity.top_correlators(similarity.min_llr(_scored(spark, sf)), 10)
+    pairs, names = _scored(spark, sf)
+    top = similarity.named(similarity.top_correlators(similarity.min_llr(pairs), 10), names)
     return top.select("item", "correlator", "llr", F.col("rank").cast("bigint").alias("rank"))
 
 
 def _order_indicators(spark, sf) -> DataFrame:
     actions = prepare.binarize(_o_actions(spark, sf).where(F.col("event").isin(*t.O_EVENTS)))
     pairs = prepare.restrict_to_primary_users(actions, "buy")
-    specs = [Indicator("buy", max_correlators_per_item=10), Indicator("view", max_correlators_per_item=10)]
+    specs = [Indicator(event, max_correlators_per_item=10) for event in t.O_EVENTS]
     return similarity.indicators(pairs, specs, 1)
 
 
@@ -491,11 +513,24 @@ def _asked(spark, sf) -> DataFrame:
 
 
 def _history(spark, sf, asked) -> DataFrame:
-    return cl.user_history(asked, t.event_log(spark, sf), t.E_EVENTS, 20)
+    return cl.user_history(asked, t.event_log(spark, sf), t.E_EVENTS)
 
 
 def _similar(asked, model) -> DataFrame:
-    return cl.similar_items(asked, model, t.E_EVENTS, 20)
+    return cl.similar_items(asked, model, t.E_EVENTS)
+
+
+@register
+def q_rejects(spark, sf):
+    """Every query once more, some cut off and some with another user: those that get no answer."""
+    asked = t.query_texts(spark, sf)
+    number = F.get_json_object("value", "$.queryId").cast("bigint")
+    again = asked.where(number % 3 <= 1).select(
+        F.when(number % 3 == 0, F.concat(F.lit("cut "), F.substring("value", 1, 8))).otherwise(
+            F.regexp_replace("value", '"returnSelf":true,', "")).alias("value"),
+        number.cast("string").alias("query_id"))
+    whole = asked.select("value", number.cast("string").alias("query_id"))
+    return qs.rejected_queries(qs.read_queries(whole.unionByName(again)))
 
 
 @register
@@ -503,6 +538,13 @@ def q_history(spark, sf):
     return _history(spark, sf, _asked(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+@register
+def q_history_capped(spark, sf):
+    """The one query about the cap: the latest three items per event type."""
+    capped = cl.user_history(_asked(spark, sf), t.event_log(spark, sf), t.E_EVENTS, 3)
+    return capped.withColumn("pos", F.col("pos").cast("bigint"))
+
+
 @register
 def q_similar(spark, sf):
     return _similar(_asked(spark, sf), _served(spark, sf)).withColumn("pos", F.col("pos").cast("bigint"))
@@ -615,7 +657,7 @@ def q_results_with_ranks(spark, sf):
 @register
 def q_serve_first(spark, sf):
     """Answers from purchases where a user has any, else from views, else from clicks."""
-    actions = _e_actions(spark, sf).where(F.col("ts") >= F.lit("2024-01-29").cast("timestamp_ntz"))
+    actions = _e_actions(spark, sf)
 
     def answers(event: str) -> DataFrame:
         counted = actions.where(F.col("event") == event).groupBy(

@@ -11,7 +11,7 @@ AS_OF = "2024-01-31 00:00:00"
 CURRENT_DATE = "1997-01-01 00:00:00"
 
 E_EVENTS = ("purchase", "view", "click")
-O_EVENTS = ("buy", "view")
+O_EVENTS = ("buy", "view", "cart")
 E_RANKINGS = (
     Ranking("popular", event_names=("purchase",), offset_date=AS_OF, duration="30 days"),
     Ranking("trending", event_names=("view", "click"), offset_date=AS_OF, duration="30 days"),
@@ -20,9 +20,9 @@ E_RANKINGS = (
     Ranking("userDefined"),
 )
 E_INDICATORS = (
-    Indicator("purchase", max_items_per_user=12, max_correlators_per_item=10),
-    Indicator("view", max_items_per_user=15, max_correlators_per_item=8, min_llr=1.5),
-    Indicator("click", max_items_per_user=500, max_correlators_per_item=5),
+    Indicator("purchase", max_correlators_per_item=10),
+    Indicator("view", max_correlators_per_item=8, min_llr=1.5),
+    Indicator("click", max_correlators_per_item=5),
 )
 
 
@@ -32,7 +32,7 @@ def engine(**changes) -> EngineConfig:
         app_name="shop", index_name="items", type_name="item",
         event_names=E_EVENTS, indicators=E_INDICATORS, rankings=E_RANKINGS,
         available_date_name="availableDate", expire_date_name="expireDate",
-        max_query_events=20, seed=1,
+        seed=1,
     )
     return EngineConfig(**{**settings, **changes})
 
