@@ -35,23 +35,44 @@ TREES, DEPTH = 24, 8
 WORD_BUCKETS = 64
 PATH_BUCKETS = 32
 
-#: The words before, the name and sign of an assignment, the candidate, the word after.
-CONTEXT = (
-    r"(?:([^\s=:\"']{1,40})[ \t]+)?(?:([A-Za-z_.-]{2,40})[ \t]*(?:=|:=|:)[ \t]*)?[\"'`]?"
-    r"((?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9][A-Za-z0-9+/_.=-]{14,}[A-Za-z0-9=]|(?<=[=:][ \t]?[\"'`])[^\s\"'`]{8,})[\"'`]?(?:[ \t]+([^\s]{1,40}))?")
+#: Least characters of a candidate with a digit, and of a value that is assigned to a name.
+LONG, ASSIGNED = 16, 8
+NAMED = r"^[^A-Za-z0-9]*([A-Za-z_.-]{2,40})[\"'`]?(?::=|=|:(?!//))"
+EDGES = r"^[^A-Za-z0-9+/_]+|[^A-Za-z0-9+/_=]+$"
 #: Fixed names of credentials and of placeholders.
 CREDENTIAL = r"(?i)(token|secret|passw|pwd|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key|bearer)"
 PLACEHOLDER = r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test|1234567|abcdef)"
 
 
 def candidates(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "source", text: str = "text") -> DataFrame:
-    """(doc_id, path, nth, before, name, value, after): every candidate of every text, in order."""
+    """(doc_id, path, nth, before, name, value, after): every candidate of every text, in order.
+
+    A text is split into words once; a word is looked at more closely only if it is long enough
+    and has a digit, or follows the sign of an assignment. ``nth`` is the word's place.
+    """
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")).alias("path"),
-        F.posexplode(F.regexp_extract_all(F.col(f"`{text}`").cast("string"), F.lit(CONTEXT), F.lit(0))).alias("nth", "context"))
-    group = [F.regexp_extract("context", "^" + CONTEXT, i) for i in range(1, 5)]
-    return rows.select("doc_id", "path", "nth", group[0].alias("before"), group[1].alias("name"), group[2].alias("value"), group[3].alias("after")).where(
-        "value <> ''")
+        F.split(F.col(f"`{text}`").cast("string"), r"[ \t\n\x0B\f\r]+").alias("words"))
+
+    def wanted(i: Column) -> Column:
+        word, before = F.get("words", i), F.get("words", i - 1)
+        return (F.length(word) >= ASSIGNED) & (
+            ((F.length(word) >= LONG) & word.rlike("[0-9]")) | word.rlike(NAMED) | F.coalesce(F.substring(before, -1, 1).isin("=", ":"), F.lit(False)))
+
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), wanted)
+    near = rows.select("doc_id", "path", F.explode(F.transform(places, lambda i: F.struct(
+        i.alias("nth"), F.get("words", i).alias("word"), *[
+            F.coalesce(F.get("words", i + k), F.lit("")).alias(n) for k, n in ((-2, "b2"), (-1, "b1"), (1, "after"))]))).alias("c")).select(
+        "doc_id", "path", "c.*")
+    inner = F.regexp_extract("word", NAMED, 1)
+    sign = F.col("b1").isin("=", ":", ":=")
+    name = F.when(inner != "", inner).when(sign, F.regexp_replace("b2", EDGES, "")).when(
+        F.col("b1").rlike("[=:]$"), F.regexp_replace(F.regexp_replace("b1", "[=:]+$", ""), EDGES, "")).otherwise("")
+    value = F.regexp_replace(F.regexp_replace("word", NAMED, ""), EDGES, "")
+    before = F.when((inner != "") | (name == ""), F.col("b1")).otherwise(F.col("b2"))
+    found = near.select("doc_id", "path", "nth", before.alias("before"), name.alias("name"), value.alias("value"), "after")
+    return found.where(
+        ((F.length("value") >= LONG) & F.col("value").rlike("[0-9]")) | ((F.col("name") != "") & (F.length("value") >= ASSIGNED) & F.col("value").rlike("[^a-z]")))
 
 
 def word_counts(docs: DataFrame, *, text: str = "text") -> DataFrame:
