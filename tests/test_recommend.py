@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from cooccur import EngineConfig, Field, Ranking
+from cooccur.operators import matching
 from cooccur.operators.numbering import free_positions, number_rows, positions_within
 from cooccur.operators.ranking import serve_first
 from cooccur.plans.recommend import recommend
@@ -234,3 +235,18 @@ def test_serve_first(spark, rows):
     a = spark.createDataFrame([("q1", "i1")], "query_id string, item string")
     b = spark.createDataFrame([("q1", "i2"), ("q2", "i3")], "query_id string, item string")
     assert rows(serve_first([a, b]), "query_id", "item") == [("q1", "i1"), ("q2", "i3")]
+
+
+def test_far_dates_match_without_months_in_between(spark):
+    model = spark.createDataFrame(
+        [("a", "1990-01-01", "9999-12-31"), ("b", "2024-01-01", "2024-02-01"), ("c", "2030-01-01", "9999-12-31"), ("d", None, "9999-12-31")],
+        "id string, s string, e string",
+    ).selectExpr("id", "cast(s as date) available", "cast(e as date) expire")
+    moments = spark.createDataFrame([("q1", "2024-01-15"), ("q2", "2040-01-01")], "query_id string, m string").selectExpr(
+        "query_id", "cast(m as timestamp_ntz) current_date")
+    found = matching.must_available(moments, model, "available", "expire")
+    assert {tuple(r) for r in found.collect()} == {("q1", "a"), ("q1", "b"), ("q2", "a"), ("q2", "c")}
+    ranges = spark.createDataFrame([("r", "expire", None, "2024-01-15")], "query_id string, name string, before string, after string").selectExpr(
+        "query_id", "struct(name, cast(before as timestamp_ntz) before, cast(after as timestamp_ntz) after) date_range")
+    found = matching.must_date_range(ranges, matching.item_dates(model))
+    assert {r["item"] for r in found.collect()} == {"a", "b", "c", "d"}
