@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cooccur.llm.frames import arrow_rows, freeze, unused
+from cooccur.llm.frames import arrow_rows, freeze, text_digest, without_texts
 from cooccur.llm.text import ALNUM, Chunk, Words, chunks, grams_of, list_array, words_of
 
 SPAN = 13
@@ -171,10 +171,6 @@ def _searched(docs: DataFrame, prints: dict[int, np.ndarray], key: Column, text:
     return arrow_rows(rows, work, ", ".join([*fields, "_n_words long", "_windows array<struct<place: int, length: int, words: string>>"]))
 
 
-def _digest(text: str) -> Column:
-    return F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary"))
-
-
 def contamination(
     docs: DataFrame, items: DataFrame, *, span: int = SPAN, block: int = BLOCK,
     keep: tuple[str, ...] = ("doc_id",), text: str = "text", item_text: str = "text", item_id: str = "item_id",
@@ -190,7 +186,7 @@ def contamination(
     searched: DataFrame | None = None
     near = []
     for prints in _blocks(distinct, block):
-        found = freeze(_searched(narrow, prints, _digest(text), text))
+        found = freeze(_searched(narrow, prints, text_digest(text), text))
         searched = searched or found
         near.append(found.where(F.size("_windows") > 0).select("_key", F.explode("_windows").alias("_w")).select("_key", "_w.*"))
     candidates = near[0]
@@ -217,6 +213,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, *, text: str = "text", **op
     """``docs`` without the contaminated documents; all columns stay."""
     found, hits, _ = contamination(docs, items, keep=(), text=text, **options)
     bad = found.distinct().join(hits, "text_key").where(contaminated(F.col("n_hit"), F.col("n_words"))).select("text_key")
-    key = unused(docs, "text_key")
-    return docs.withColumn(key, _digest(text)).join(bad.withColumnRenamed("text_key", key), key, "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return without_texts(docs, bad, text)

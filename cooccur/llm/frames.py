@@ -54,7 +54,11 @@ def text_digest(text: str) -> Column:
 
 
 def without_texts(docs: DataFrame, bad: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text has its digest in the only column of ``bad``."""
+    """``docs`` without the rows whose text has its digest in the only column of ``bad``.
+
+    The digests are written before they are joined, so that the rows of a text with many copies
+    can be split among tasks.
+    """
     key = unused(docs, "text_key")
-    return docs.withColumn(key, text_digest(text)).join(bad.toDF(key), key, "left_anti").select(
+    return docs.withColumn(key, text_digest(text)).join(freeze(bad.toDF(key)), key, "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns])

@@ -226,17 +226,18 @@ def _remaining_links(pairs: DataFrame, roots: DataFrame, classes: DataFrame, set
     grouped = pairs.join(rooted, "class", "left").withColumn("root", F.coalesce("root", "class"))
     own = grouped.groupBy("pivot", "root").agg(F.count("*").alias("n"))
     # Of a group, the root with the most classes, which need no comparison with each other.
-    largest = own.groupBy("pivot").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots"), F.sum("n").alias("all"))
-    open_groups = largest.where("roots > 1").select("pivot", F.col("most.root").alias("major"), "all", F.col("most.n").alias("n_major"))
+    largest = own.groupBy("pivot").agg(F.max(F.struct("n", "root")).alias("most"), F.count("*").alias("roots"))
+    # Written before it is joined, so that a large group's rows can be split among tasks.
+    open_groups = freeze(largest.where("roots > 1").select("pivot", F.col("most.root").alias("major")))
     rows = grouped.join(open_groups, "pivot").join(classes.select("class", "bits", "n_shingles"), "class")
     rows = rows.withColumn("minor", F.col("root") != F.col("major"))
     # A tile holds a share of a group's classes by a hash, small enough in number and in sizes.
     sizes = freeze(rows.groupBy("pivot", "minor").agg(F.count("*").alias("c"), F.sum("n_shingles").alias("s")))
     tiles = sizes.select(
         "pivot", "minor", F.ceil(F.greatest(F.col("c") / TILE_CLASSES, F.col("s") / TILE_NUMBERS)).cast("int").alias("tiles"))
-    per = tiles.groupBy("pivot").agg(
+    per = freeze(tiles.groupBy("pivot").agg(
         F.coalesce(F.max(F.when(F.col("minor"), F.col("tiles"))), F.lit(0)).alias("minors"),
-        F.coalesce(F.max(F.when(~F.col("minor"), F.col("tiles"))), F.lit(0)).alias("majors"))
+        F.coalesce(F.max(F.when(~F.col("minor"), F.col("tiles"))), F.lit(0)).alias("majors")))
     placed = rows.join(per, "pivot").withColumn(
         "tile", F.pmod(F.xxhash64("class"), F.when(F.col("minor"), F.col("minors")).otherwise(F.col("majors"))))
     # Tasks (i, j): minor tile i with minor tile j >= i, or with major tile j (counted on).
@@ -282,7 +283,7 @@ def near_duplicates(
         "group", F.coalesce("root", "class"))
     # The order (doc_id, text_key) with null ids last.
     place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))
-    least = rooted.where("group is not null").groupBy("group").agg(F.min(place).alias("least"))
+    least = freeze(rooted.where("group is not null").groupBy("group").agg(F.min(place).alias("least")))
     return rooted.join(least, "group", "left").select(
         "doc_id", "text_key", "n_shingles",
         F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
@@ -307,6 +308,7 @@ def deduplicate(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     gone = found.where(~F.col("alone") & ~(
         F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))).select(
         F.col("doc_id").alias(own), F.col("text_key").alias(key)).distinct()
+    gone = freeze(gone)
     keyed = docs.withColumn(mine, F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
     left = keyed.join(gone, keyed[doc_id].eqNullSafe(gone[own]) & (keyed[mine] == gone[key]), "left_anti")
     if found.groupBy("doc_id", "text_key").count().where("count > 1").head(1):

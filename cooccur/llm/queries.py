@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cooccur.llm import classlm, decontaminate, licenses, minhash, mixing, records, rules, secrets, toxicity, transcripts
-from cooccur.llm.frames import learnable
+from cooccur.llm.frames import freeze, learnable
 from cooccur.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -55,7 +55,9 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, hits, items = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     named = items.groupBy("text_key").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
-    return docs.join(hits.join(named, "text_key", "left"), "text_key", "left").select(
+    # Written before it is joined, so that the rows of a text with many copies can be split among tasks.
+    found = freeze(hits.join(named, "text_key", "left"))
+    return docs.join(found, "text_key", "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"),
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("ids", ","), F.lit("")), 256).alias("items_sha256"),
