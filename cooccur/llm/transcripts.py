@@ -19,10 +19,9 @@ is one of its own. Roles that are not in ``ROLES`` are not learned from.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -181,36 +180,67 @@ def fit(talks: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn", role:
     return Hmm(total[:a], total[a:b].reshape(STATES, STATES), total[b:].reshape(STATES, -1))
 
 
-def _stacked(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).reshape(len(column), STATES, STATES)
-
-
 NODE = "conv string, place long, tie string, matrix array<double>"
 
 
-def _joined(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["place", "tie"])
-    return pd.DataFrame({
-        "conv": [rows["conv"].iloc[0]], "place": [rows["parent"].iloc[0]], "tie": [""], "matrix": [product(_stacked(rows["matrix"])).ravel()]})
+def _in_groups(rows: DataFrame, columns: list[str], work: Callable[[dict, int, int], Iterator[tuple]], schema: str) -> DataFrame:
+    """``work`` on each (conv, parent): the rows lie together and in order, so a task walks through them.
+
+    ``work`` gets a batch's columns as lists (the matrices as one array) and where the group
+    starts and ends. A group that a batch cuts is kept for the next one, at most ``SPAN`` places.
+    """
+    names = [part.split()[0] for part in schema.split(", ")]
+    kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "array<double>": pa.list_(pa.float64())}
+    types = [kinds[part.split()[1]] for part in schema.split(", ")]
+    ordered = rows.select("conv", "parent", *columns).repartition("conv", "parent").sortWithinPartitions("conv", "parent", "place", "tie")
+
+    def done(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, int]:
+        held = {c: table[c].to_pylist() for c in table.column_names if c != "matrix"}
+        held["matrix"] = np.array(table["matrix"].combine_chunks().flatten()).reshape(-1, STATES, STATES)
+        keys = list(zip(held["conv"], held["parent"], strict=True))
+        starts = [i for i in range(len(keys)) if i == 0 or keys[i] != keys[i - 1]]
+        ends = [*starts[1:], len(keys)] if last else starts[1:]
+        found = [row for low, high in zip(starts, ends, strict=False) for row in work(held, low, high)]
+        cells = list(zip(*found, strict=True)) or [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cells, types, strict=True)], names), starts[-1]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if batch.num_rows:
+                own = pa.Table.from_batches([batch])
+                table = own if rest is None else pa.concat_tables([rest, own])
+                found, start = done(table, last=False)
+                rest = table.slice(start)
+                yield found
+        if rest is not None:
+            yield done(rest, last=True)[0]
+
+    return ordered.mapInArrow(task, schema)
+
+
+def _joined(held: dict, low: int, high: int) -> Iterator[tuple]:
+    yield held["conv"][low], held["parent"][low], "", product(held["matrix"][low:high]).ravel().tolist()
 
 
 def _up(nodes: DataFrame) -> DataFrame:
     """One level up: a node for each ``SPAN`` places of a conversation."""
-    return nodes.withColumn("parent", F.floor(F.col("place") / SPAN)).groupBy("conv", "parent").applyInPandas(_joined, NODE)
+    return _in_groups(nodes.withColumn("parent", F.floor(F.col("place") / SPAN)), ["place", "tie", "matrix"], _joined, NODE)
 
 
-def _fixed(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values(["place", "tie"])
-    path = best_path(_stacked(rows["matrix"]), _entry(int(rows["p_before"].iloc[0])), int(rows["p_last"].iloc[0]))
-    before = np.concatenate([[rows["p_before"].iloc[0]], path[:-1]]).astype(int)
-    return pd.DataFrame({"conv": rows["conv"].to_list(), "place": rows["place"].to_list(), "tie": rows["tie"].to_list(), "before": before, "last": path})
+def _fixed(held: dict, low: int, high: int) -> Iterator[tuple]:
+    before = held["p_before"][low]
+    for i, state in enumerate(best_path(held["matrix"][low:high], _entry(before), held["p_last"][low]).tolist(), low):
+        yield held["conv"][i], held["place"][i], held["tie"][i], before, state
+        before = state
 
 
 def _down(nodes: DataFrame, parents: DataFrame) -> DataFrame:
     """The states at both ends of each node, from those of its parent: (conv, place, tie, before, last)."""
     above = parents.select("conv", F.col("place").alias("parent"), F.col("before").alias("p_before"), F.col("last").alias("p_last"))
     keyed = nodes.withColumn("parent", F.floor(F.col("place") / SPAN)).join(above, ["conv", "parent"])
-    return keyed.groupBy("conv", "parent").applyInPandas(_fixed, "conv string, place long, tie string, before int, last int")
+    return _in_groups(
+        keyed, ["place", "tie", "matrix", "p_before", "p_last"], _fixed, "conv string, place long, tie string, before int, last int")
 
 
 def _entry(state: int) -> np.ndarray:
