@@ -7,12 +7,13 @@ labelled conversations; Viterbi's path then gives every line a state.
 
 A conversation may be of any length. A message is a matrix of the best log probabilities from
 the state before it to its last state; the matrices of up to ``SPAN`` neighbours are multiplied
-(maximum of sums) to one, in as many levels as the longest conversation needs. From the top
+(maximum of sums) to one, in as many levels as the longest conversation needs. Neighbours are told
+by their number in the conversation, not by their turn, which any number of them may share. From the top
 down, each level then fixes the states at the borders of the level below. So the path is exact,
 and a task holds at most ``SPAN`` matrices or one message, never a conversation.
 
 A null or empty text is one empty line. Null turns come first. Rows that agree in conversation,
-turn and text are one message; equal turns are in the order of their texts. A null conversation
+turn and text are one message; equal turns are in the order of their texts' digests. A null conversation
 is one of its own. Roles that are not in ``ROLES`` are not learned from.
 """
 
@@ -23,7 +24,9 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cooccur.llm.frames import arrow_rows, freeze, learnable
@@ -128,14 +131,41 @@ def _key(conv_id: str) -> Column:
 def _messages(talks: DataFrame, conv_id: str, turn: str, text: str) -> DataFrame:
     """(conv, conv_id, turn, text, tie, place, first): distinct messages.
 
-    Places count turns from a conversation's least one; ``first`` marks its first message.
+    Places number a conversation's messages from 0 in the order of (turn, tie), without gaps;
+    ``first`` marks its first message. The rows are sorted by ranges; a task numbers the messages of
+    each conversation it meets, and a conversation that began in earlier tasks goes on from there.
     """
     rows = talks.select(
         _key(conv_id).alias("conv"), F.col(f"`{conv_id}`").alias("conv_id"), F.coalesce(F.col(f"`{turn}`").cast("long"), F.lit(-1)).alias("turn"),
         F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("text")).distinct().withColumn("tie", F.md5(F.col("text").cast("binary")))
-    least = rows.groupBy("conv").agg(F.min(F.struct("turn", "tie")).alias("_least"))
-    return rows.join(least, "conv").withColumn("first", F.struct("turn", "tie") == F.col("_least")).withColumn(
-        "place", F.col("turn") - F.col("_least.turn")).drop("_least")
+
+    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, conv, n = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if batch.num_rows:
+                keys = batch.column(0).to_numpy(zero_copy_only=False)
+                starts = np.flatnonzero(np.concatenate([[keys[0] != conv], keys[1:] != keys[:-1]]))
+                at = np.arange(len(keys))
+                began = np.full(len(keys), -n)  # where the conversation of the last batch began
+                if len(starts):
+                    group = np.searchsorted(starts, at, "right") - 1
+                    began = np.where(group >= 0, starts[np.maximum(group, 0)], -n)
+                nth = at - began
+                conv, n = keys[-1], int(nth[-1]) + 1
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(np.full(len(keys), part, np.int32)), pa.array(nth.astype(np.int64))], [*batch.schema.names, "_part", "_nth"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    held = freeze(rows.orderBy("conv", "turn", "tie").mapInArrow(numbered, f"{fields}, _part int, _nth long"))
+    # A row per sort partition and conversation at its edge: only these can go on in another partition.
+    edges = held.groupBy("_part").agg(F.min("conv").alias("low"), F.max("conv").alias("high"))
+    edges = edges.select("_part", F.explode(F.array_distinct(F.array("low", "high"))).alias("conv"))
+    sizes = held.join(F.broadcast(edges), ["_part", "conv"], "left_semi").groupBy("conv", "_part").agg(F.count("*").alias("_size"))
+    earlier = W.partitionBy("conv").orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("conv", "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")).where("_offset > 0")
+    place = F.col("_nth") + F.coalesce("_offset", F.lit(0))
+    return held.join(F.broadcast(offsets), ["conv", "_part"], "left").withColumn("place", place).withColumn(
+        "first", F.col("place") == 0).drop("_part", "_nth", "_offset")
 
 
 def fit(talks: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> Hmm:
@@ -180,19 +210,19 @@ def fit(talks: DataFrame, *, conv_id: str = "conv_id", turn: str = "turn", role:
     return Hmm(total[:a], total[a:b].reshape(STATES, STATES), total[b:].reshape(STATES, -1))
 
 
-NODE = "conv string, place long, tie string, matrix array<double>"
+NODE = "conv string, place long, matrix array<double>"
 
 
 def _in_groups(rows: DataFrame, columns: list[str], work: Callable[[dict, int, int], Iterator[tuple]], schema: str) -> DataFrame:
     """``work`` on each (conv, parent): the rows lie together and in order, so a task walks through them.
 
     ``work`` gets a batch's columns as lists (the matrices as one array) and where the group
-    starts and ends. A group that a batch cuts is kept for the next one, at most ``SPAN`` places.
+    starts and ends. A group that a batch cuts is kept for the next one, at most ``SPAN`` rows.
     """
     names = [part.split()[0] for part in schema.split(", ")]
     kinds = {"string": pa.string(), "long": pa.int64(), "int": pa.int32(), "array<double>": pa.list_(pa.float64())}
     types = [kinds[part.split()[1]] for part in schema.split(", ")]
-    ordered = rows.select("conv", "parent", *columns).repartition("conv", "parent").sortWithinPartitions("conv", "parent", "place", "tie")
+    ordered = rows.select("conv", "parent", *columns).repartition("conv", "parent").sortWithinPartitions("conv", "parent", "place")
 
     def done(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, int]:
         held = {c: table[c].to_pylist() for c in table.column_names if c != "matrix"}
@@ -220,27 +250,27 @@ def _in_groups(rows: DataFrame, columns: list[str], work: Callable[[dict, int, i
 
 
 def _joined(held: dict, low: int, high: int) -> Iterator[tuple]:
-    yield held["conv"][low], held["parent"][low], "", product(held["matrix"][low:high]).ravel().tolist()
+    yield held["conv"][low], held["parent"][low], product(held["matrix"][low:high]).ravel().tolist()
 
 
 def _up(nodes: DataFrame) -> DataFrame:
     """One level up: a node for each ``SPAN`` places of a conversation."""
-    return _in_groups(nodes.withColumn("parent", F.floor(F.col("place") / SPAN)), ["place", "tie", "matrix"], _joined, NODE)
+    return _in_groups(nodes.withColumn("parent", F.floor(F.col("place") / SPAN)), ["place", "matrix"], _joined, NODE)
 
 
 def _fixed(held: dict, low: int, high: int) -> Iterator[tuple]:
     before = held["p_before"][low]
     for i, state in enumerate(best_path(held["matrix"][low:high], _entry(before), held["p_last"][low]).tolist(), low):
-        yield held["conv"][i], held["place"][i], held["tie"][i], before, state
+        yield held["conv"][i], held["place"][i], before, state
         before = state
 
 
 def _down(nodes: DataFrame, parents: DataFrame) -> DataFrame:
-    """The states at both ends of each node, from those of its parent: (conv, place, tie, before, last)."""
+    """The states at both ends of each node, from those of its parent: (conv, place, before, last)."""
     above = parents.select("conv", F.col("place").alias("parent"), F.col("before").alias("p_before"), F.col("last").alias("p_last"))
     keyed = nodes.withColumn("parent", F.floor(F.col("place") / SPAN)).join(above, ["conv", "parent"])
     return _in_groups(
-        keyed, ["place", "tie", "matrix", "p_before", "p_last"], _fixed, "conv string, place long, tie string, before int, last int")
+        keyed, ["place", "matrix", "p_before", "p_last"], _fixed, "conv string, place long, before int, last int")
 
 
 def _entry(state: int) -> np.ndarray:
@@ -260,14 +290,14 @@ def parse_transcripts(talks: DataFrame, model: Hmm, *, conv_id: str = "conv_id",
     ``talks`` has the messages or pieces of transcripts in the order of ``turn``; a whole transcript
     may be a single row. Markers of roles at the beginning of a turn are left out of its text.
     """
-    messages = freeze(_messages(talks, conv_id, turn, text))
+    messages = _messages(talks, conv_id, turn, text)
 
     def matrices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        texts, firsts = batch.column(3).to_pylist(), batch.column(4).to_pylist()
+        texts, firsts = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         found = [product(model.lines(line_features(_lines(t), f), f)).ravel().tolist() for t, f in zip(texts, firsts, strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(found, pa.list_(pa.float64()))], ["conv", "place", "tie", "matrix"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.list_(pa.float64()))], ["conv", "place", "matrix"])
 
-    levels = [freeze(arrow_rows(messages.select("conv", "place", "tie", "text", "first"), matrices, NODE))]
+    levels = [freeze(arrow_rows(messages.select("conv", "place", "text", "first"), matrices, NODE))]
     levels.append(freeze(_up(levels[0])))
     while levels[-1].where("place > 0").head(1):
         levels.append(freeze(_up(levels[-1])))
@@ -276,7 +306,7 @@ def parse_transcripts(talks: DataFrame, model: Hmm, *, conv_id: str = "conv_id",
     ends = levels[-1].select("conv", "place", F.lit(0).alias("before"), last.cast("int").alias("last"))
     for nodes in reversed(levels[:-1]):
         ends = freeze(_down(nodes, ends))
-    decoded = messages.join(ends, ["conv", "place", "tie"]).select("conv_id", "turn", "text", "first", "before", "last")
+    decoded = messages.join(ends, ["conv", "place"]).select("conv_id", "turn", "text", "first", "before", "last")
     id_kind = decoded.schema["conv_id"].dataType.simpleString()
 
     def render(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,6 @@
+import hashlib
 import itertools
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -63,3 +65,24 @@ def test_odd_rows(spark, talks):
     found = t.parse_transcripts(odd.selectExpr("*", "1 as place", "2 as tie", "3 as conv"), t.fit(talks)).where("part = 0").collect()
     assert sorted(((r["conv_id"], r["turn"]) for r in found), key=repr) == sorted([(None, None), (1, 5), (1, 5), (1, None), (2, 10**12)], key=repr)
     assert t.recovered(talks.where("false")).count() == 0
+
+
+def test_equal_turns_of_a_null_conversation_are_numbered(spark, talks, monkeypatch):
+    said = [("Why so?" if k % 2 else f"Because it is {k}.\nAnd that is all there is to say.") + f" {k}" for k in range(90)]
+    rows = [(None, (None, None, 4)[k % 3], None, text) for k, text in enumerate(said)] + [(9, k, None, "Why?") for k in range(30)]
+    many = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    order = sorted(((-1 if r[1] is None else r[1]), hashlib.md5(r[3].encode()).hexdigest(), r[3]) for r in rows if r[0] is None)
+    model = t.fit(talks)
+    found = lambda: sorted(map(tuple, t.parse_transcripts(many, model).collect()), key=repr)
+    one = found()
+    assert len([r for r in one if r[2] == 0]) == len(rows)
+    monkeypatch.setattr(t, "SPAN", 8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the conversation runs through all sort partitions
+    try:
+        places = t._messages(many, "conv_id", "turn", "text").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [(r["place"], r["text"], r["first"]) for r in sorted(places, key=lambda r: r["place"]) if r["conv_id"] is None] == [
+        (i, text, i == 0) for i, (_, _, text) in enumerate(order)]
+    assert max(Counter((r["conv"], r["place"] // t.SPAN) for r in places).values()) <= t.SPAN
+    assert found() == one
