@@ -39,6 +39,12 @@ PATH_BUCKETS = 32
 LONG, ASSIGNED = 16, 8
 NAMED = r"^[^A-Za-z0-9]*([A-Za-z_.-]{2,40})[\"'`]?(?::=|=|:(?!//))"
 EDGES = r"^[^A-Za-z0-9+/_]+|[^A-Za-z0-9+/_=]+$"
+#: What a word is cut at, a name with its sign inside a word, one piece of a word, and a value in quotes.
+QUOTES, CUTS = "\"'`", "\"'`,;{}?&"
+SIGNED = r"([A-Za-z][A-Za-z0-9_.-]{1,39})\\{0,3}[" + QUOTES + r"]?(?::=|=|:(?!//))"
+PIECE = rf"(?:[^A-Za-z0-9{CUTS}]*{SIGNED}\\{{0,3}}[{QUOTES}]?)?([^{CUTS}]+)"
+QUOTED = rf"(?s)(?:[{QUOTES}]?{SIGNED})?\\{{0,3}}([{QUOTES}])(.+?)\2"
+INNER = rf"[{CUTS}]{SIGNED}"
 #: Fixed names of credentials and of placeholders.
 CREDENTIAL = r"(?i)(token|secret|passw|pwd|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key|bearer)"
 PLACEHOLDER = r"(?i)(example|sample|dummy|placeholder|changeme|your[_-]|xxxx|test|1234567|abcdef)"
@@ -48,7 +54,9 @@ def candidates(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "source",
     """(doc_id, path, nth, before, name, value, after): every candidate of every text, in order.
 
     A text is split into words once; a word is looked at more closely only if it is long enough
-    and has a digit, or follows the sign of an assignment. ``nth`` is the word's place.
+    and has a digit or the sign of an assignment, or follows one. ``nth`` is the word's place.
+    Such a word is cut into pieces, each with a name of its own if it has one; a value with signs
+    of a cut in it is a candidate as a whole, too, unless there is another assignment in it.
     """
     rows = docs.select(
         F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")).alias("path"),
@@ -57,22 +65,42 @@ def candidates(docs: DataFrame, *, doc_id: str = "doc_id", path: str = "source",
     def wanted(i: Column) -> Column:
         word, before = F.get("words", i), F.get("words", i - 1)
         return (F.length(word) >= ASSIGNED) & (
-            ((F.length(word) >= LONG) & word.rlike("[0-9]")) | word.rlike(NAMED) | F.coalesce(F.substring(before, -1, 1).isin("=", ":"), F.lit(False)))
+            ((F.length(word) >= LONG) & word.rlike("[0-9]")) | word.rlike("[=:]") | F.coalesce(F.substring(before, -1, 1).isin("=", ":"), F.lit(False)))
 
     places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), wanted)
     near = rows.select("doc_id", "path", F.explode(F.transform(places, lambda i: F.struct(
         i.alias("nth"), F.get("words", i).alias("word"), *[
             F.coalesce(F.get("words", i + k), F.lit("")).alias(n) for k, n in ((-2, "b2"), (-1, "b1"), (1, "after"))]))).alias("c")).select(
         "doc_id", "path", "c.*")
-    inner = F.regexp_extract("word", NAMED, 1)
     sign = F.col("b1").isin("=", ":", ":=")
-    name = F.when(inner != "", inner).when(sign, F.regexp_replace("b2", EDGES, "")).when(
-        F.col("b1").rlike("[=:]$"), F.regexp_replace(F.regexp_replace("b1", "[=:]+$", ""), EDGES, "")).otherwise("")
-    value = F.regexp_replace(F.regexp_replace("word", NAMED, ""), EDGES, "")
-    before = F.when((inner != "") | (name == ""), F.col("b1")).otherwise(F.col("b2"))
-    found = near.select("doc_id", "path", "nth", before.alias("before"), name.alias("name"), value.alias("value"), "after")
-    return found.where(
-        ((F.length("value") >= LONG) & F.col("value").rlike("[0-9]")) | ((F.col("name") != "") & (F.length("value") >= ASSIGNED) & F.col("value").rlike("[^a-z]")))
+    # The name before a value that stands in the next word: the last piece, if that word has several.
+    last = F.regexp_extract("b1", rf"([^{CUTS}=:]+)\\{{0,3}}[{QUOTES}]?[=:]+$", 1)
+    outer = F.when(sign, F.regexp_extract(F.regexp_replace("b2", EDGES, ""), f"[^{CUTS}=:]*$", 0)).when(
+        F.col("b1").rlike("[=:]$"), F.regexp_replace(F.when(last != "", last).otherwise(F.regexp_replace("b1", "[=:]+$", "")), EDGES, "")).otherwise("")
+    near = near.withColumn("outer", outer)
+
+    def pieces(pattern: str, at: int) -> Column:
+        names, values = (F.regexp_extract_all("word", F.lit(pattern), F.lit(i)) for i in (1, at))
+        return F.transform(F.arrays_zip(names.alias("inner"), values.alias("value")), lambda x, i: F.struct(
+            x["inner"].alias("inner"), F.when(x["inner"] != "", x["inner"]).when(i == 0, F.col("outer")).otherwise("").alias("name"),
+            F.regexp_replace(x["value"], EDGES, "").alias("value")))
+
+    def candidate(x: Column) -> Column:
+        value = x["value"]
+        return ((F.length(value) >= LONG) & value.rlike("[0-9]")) | ((x["name"] != "") & (F.length(value) >= ASSIGNED) & value.rlike("[^a-z]"))
+
+    def whole(x: Column) -> Column:
+        return x["value"].rlike(f"[{CUTS}]") & ~x["value"].rlike(INNER) & candidate(x)
+
+    start = F.regexp_extract("word", NAMED, 1)
+    word = F.struct(
+        start.alias("inner"), F.when(start != "", start).otherwise(F.col("outer")).alias("name"),
+        F.regexp_replace(F.regexp_replace("word", NAMED, ""), EDGES, "").alias("value"))
+    cut = near.withColumn("pieces", F.filter(pieces(PIECE, 2), candidate)).withColumn("quoted", F.filter(pieces(QUOTED, 3), whole)).withColumn("own", word)
+    own = F.filter(F.array("own"), lambda x: whole(x) & ~F.col("word").rlike(INNER + "$") & ~F.exists("quoted", lambda q: q["value"] == x["value"]))
+    found = cut.select("doc_id", "path", "nth", "b1", "b2", "after", F.explode(F.concat("pieces", "quoted", own)).alias("c"))
+    before = F.when((F.col("c.inner") != "") | (F.col("c.name") == ""), F.col("b1")).otherwise(F.col("b2"))
+    return found.select("doc_id", "path", "nth", before.alias("before"), "c.name", "c.value", "after")
 
 
 def word_counts(docs: DataFrame, *, text: str = "text") -> DataFrame:
