@@ -2,10 +2,14 @@
 
 A block of text that repeats a license needs few bytes if the license is known. Candidate blocks
 (lines with words of licenses, and what lies between them) are compressed alone and with each
-template as a raw dictionary; templates are ranked by the bytes they save. The best ones are then
-compared word by word, and the one with the fewest differing words is the finding, if at least
-``CONFIRMED`` of the block's words stand in the template in the same order. The differences in
-wording are part of the result.
+template as a raw dictionary; templates are ranked by the bytes they save. The best ones, and those
+that save nearly as much, are then compared word by word with the region of the template around the
+longest run of words that both have. The one with the fewest differing words is the finding, if at least
+``CONFIRMED`` of the block's words stand in that region in the same order and no difference touches the
+name or the version of a license. The differences in wording are part of the result. Blocks near each
+other are one finding if they are one license with what lies between them.
+
+A template is a license's notices and its whole text (of AGPL-3.0 and the CC BY licenses the notices only).
 
 Null and empty texts have no blocks. Repeated rows have equal findings. Ties go to the template
 with the smaller name. Long lines are cut into sentences first; all of them are looked at.
@@ -16,6 +20,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from importlib.resources import files
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -32,8 +37,10 @@ BEST = 3
 SAVED = 0.25
 CONFIRMED = 0.8
 LONG_LINE = 300
+#: Most characters between blocks that are first looked at as one.
+NEAR = 4000
 
-#: Fixed texts: how the licenses are named in notices, and the openings of the licenses themselves.
+#: Fixed texts: how the licenses are named in notices, and the licenses themselves if they are short.
 TEMPLATES = {
     "Apache-2.0": """licensed under the apache license, version 2.0 (the "license"); you may not use this file except in
         compliance with the license. you may obtain a copy of the license at http://www.apache.org/licenses/license-2.0
@@ -45,7 +52,10 @@ TEMPLATES = {
         rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the software, and to
         permit persons to whom the software is furnished to do so. the above copyright notice and this permission notice
         shall be included in all copies or substantial portions of the software. the software is provided "as is", without
-        warranty of any kind. released under the mit license. licensed under the mit license. this work is licensed under
+        warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness
+        for a particular purpose and noninfringement. in no event shall the authors or copyright holders be liable for any
+        claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in
+        connection with the software or the use or other dealings in the software. released under the mit license. licensed under the mit license. this work is licensed under
         the mit license.""",
     "GPL-3.0": """this program is free software: you can redistribute it and/or modify it under the terms of the gnu general
         public license as published by the free software foundation, either version 3 of the license, or (at your option)
@@ -53,14 +63,49 @@ TEMPLATES = {
         even the implied warranty of merchantability or fitness for a particular purpose. this work is licensed under the
         gnu general public license, version 3. released under the gnu general public license, version 3. licensed under the
         gnu general public license v3.""",
+    "GPL-2.0": """this program is free software; you can redistribute it and/or modify it under the terms of the gnu general
+        public license as published by the free software foundation; either version 2 of the license, or (at your option)
+        any later version. this work is licensed under the gnu general public license, version 2. released under the gnu
+        general public license, version 2. licensed under the gnu general public license v2.""",
+    "LGPL-2.1": """this library is free software; you can redistribute it and/or modify it under the terms of the gnu lesser
+        general public license as published by the free software foundation; either version 2.1 of the license, or (at your
+        option) any later version. this work is licensed under the gnu lesser general public license, version 2.1. released
+        under the gnu lesser general public license, version 2.1. licensed under the gnu lesser general public license v2.1.""",
+    "LGPL-3.0": """this program is free software: you can redistribute it and/or modify it under the terms of the gnu lesser
+        general public license as published by the free software foundation, either version 3 of the license, or (at your
+        option) any later version. this program is distributed in the hope that it will be useful, but without any warranty;
+        without even the implied warranty of merchantability or fitness for a particular purpose. see the gnu lesser general
+        public license for more details. you should have received a copy of the gnu lesser general public license along with
+        this program. if not, see https://www.gnu.org/licenses/. this work is licensed under the gnu lesser general public
+        license, version 3. released under the gnu lesser general public license, version 3. licensed under the gnu lesser
+        general public license v3.""",
+    "AGPL-3.0": """this program is free software: you can redistribute it and/or modify it under the terms of the gnu affero
+        general public license as published by the free software foundation, either version 3 of the license, or (at your
+        option) any later version. this program is distributed in the hope that it will be useful, but without any warranty;
+        without even the implied warranty of merchantability or fitness for a particular purpose. see the gnu affero general
+        public license for more details. you should have received a copy of the gnu affero general public license along with
+        this program. if not, see https://www.gnu.org/licenses/. this work is licensed under the gnu affero general public
+        license, version 3. released under the gnu affero general public license, version 3. licensed under the gnu affero
+        general public license v3.""",
     "BSD-3-Clause": """redistribution and use in source and binary forms, with or without modification, are permitted provided
-        that the following conditions are met: redistributions of source code must retain the above copyright notice, this
-        list of conditions and the following disclaimer. neither the name of the copyright holder nor the names of its
-        contributors may be used to endorse or promote products derived from this software without specific prior written
-        permission. released under the bsd 3-clause license. licensed under the bsd license.""",
+        that the following conditions are met: 1. redistributions of source code must retain the above copyright notice, this
+        list of conditions and the following disclaimer. 2. redistributions in binary form must reproduce the above copyright
+        notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
+        the distribution. 3. neither the name of the copyright holder nor the names of its contributors may be used to endorse
+        or promote products derived from this software without specific prior written permission. DISCLAIMER released under
+        the bsd 3-clause license. licensed under the bsd license.""",
+    "BSD-2-Clause": """redistribution and use in source and binary forms, with or without modification, are permitted provided
+        that the following conditions are met: 1. redistributions of source code must retain the above copyright notice, this
+        list of conditions and the following disclaimer. 2. redistributions in binary form must reproduce the above copyright
+        notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with
+        the distribution. DISCLAIMER released under the bsd 2-clause license. licensed under the bsd 2-clause license.""",
     "ISC": """permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
-        granted, provided that the above copyright notice and this permission notice appear in all copies. released under
-        the isc license. licensed under the isc license.""",
+        granted, provided that the above copyright notice and this permission notice appear in all copies. the software is
+        provided "as is" and the author disclaims all warranties with regard to this software including all implied warranties
+        of merchantability and fitness. in no event shall the author be liable for any special, direct, indirect, or
+        consequential damages or any damages whatsoever resulting from loss of use, data or profits, whether in an action of
+        contract, negligence or other tortious action, arising out of or in connection with the use or performance of this
+        software. released under the isc license. licensed under the isc license.""",
     "MPL-2.0": """this source code form is subject to the terms of the mozilla public license, v. 2.0. if a copy of the mpl was
         not distributed with this file, you can obtain one at http://mozilla.org/mpl/2.0/. licensed under the mozilla public
         license, version 2.0. released under the mozilla public license.""",
@@ -75,6 +120,25 @@ TEMPLATES = {
     "proprietary": """all rights reserved. no part of this work may be reproduced or distributed in any form without the prior
         written permission of the owner. copyright. unauthorized copying is prohibited. proprietary and confidential.""",
 }
+_DISCLAIMER = """this software is provided by the copyright holders and contributors "as is" and any express or implied warranties,
+    including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed.
+    in no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or
+    consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or
+    profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or
+    tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the
+    possibility of such damage."""
+for _name in ("BSD-2-Clause", "BSD-3-Clause"):
+    TEMPLATES[_name] = TEMPLATES[_name].replace("DISCLAIMER", _DISCLAIMER)
+#: The whole texts of the longer licenses.
+for _name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"):
+    TEMPLATES[_name] += "\n" + files("cooccur.llm").joinpath("license_texts", f"{_name}.txt").read_text("utf-8")
+#: Words that name a license, those that a version follows, and versions.
+NAMES = frozenset((
+    "apache mit gnu gpl lgpl agpl lesser library affero bsd isc mozilla mpl attribution attribution-sharealike attribution-noncommercial "
+    "sharealike noncommercial noderivatives by by-sa by-nc by-nd by-nc-sa by-nc-nd cc cc0").split()) - {"by", "library"}
+VERSIONED = NAMES | {"version", "v", "license", "licence", "by", "international"}
+_VERSION = re.compile(r"v?\d{1,2}(?:\.\d+)*")
+_NUMBERED = re.compile(r"(?:v\d[\d.]*|[al]?gplv?\d[\d.]*|\d-clause|(?:by-|cc)[\w.-]+)")
 TRIGGERS = ("licens", "licenc", "copyright", "warranty", "redistribut", "all rights reserved", "public domain", "permission is hereby", "©")
 _TRIGGER = re.compile("|".join(map(re.escape, TRIGGERS)), re.IGNORECASE)
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
@@ -144,19 +208,32 @@ class Finding(NamedTuple):
     differences: list[str]
 
 
-def _wording(block: list[str], template: list[str]) -> tuple[int, list[str]]:
-    """(words of the block that stand in the template in order, the differences between the two around them)"""
+def _names(words: list[str], low: int, high: int) -> bool:
+    """Whether a name or a version of a license is among ``words[low:high]``."""
+    return any(
+        words[i] in NAMES or _NUMBERED.fullmatch(words[i]) is not None or (i > 0 and words[i - 1] in VERSIONED and _VERSION.fullmatch(words[i]) is not None)
+        for i in range(low, high))
+
+
+def _wording(block: list[str], template: list[str]) -> tuple[int, list[str], bool]:
+    """(words of the block that stand in the template's best region in order, the differences, whether one touches a name)"""
+    anchor = SequenceMatcher(None, template, block, autojunk=False).find_longest_match()
+    if not anchor.size:
+        return 0, [f"+{w}" for w in block], True
+    slack = len(block) // 4 + 8
+    low = max(0, anchor.a - anchor.b - slack)
+    template = template[low: anchor.a - anchor.b + len(block) + slack]
     matcher = SequenceMatcher(None, template, block, autojunk=False)
     matched = [m for m in matcher.get_matching_blocks() if m.size]
-    if not matched:
-        return 0, [f"+{w}" for w in block]
     first, last = matched[0].a, matched[-1].a + matched[-1].size
-    differences = []
+    differences, named = [], False
     for kind, a0, a1, b0, b1 in matcher.get_opcodes():
         if kind != "equal":
-            differences += [f"-{w}" for w in template[max(a0, first): min(a1, last)]]
+            a0, a1 = max(a0, first), min(a1, last)
+            differences += [f"-{w}" for w in template[a0:a1]]
             differences += [f"+{w}" for w in block[b0:b1]]
-    return sum(m.size for m in matched), differences
+            named = named or _names(template, a0, a1) or _names(block, b0, b1)
+    return sum(m.size for m in matched), differences, named
 
 
 def identify(block: str, templates: list[Template], alone: zstandard.ZstdCompressor) -> Finding | None:
@@ -167,14 +244,34 @@ def identify(block: str, templates: list[Template], alone: zstandard.ZstdCompres
     plain = len(alone.compress(data))
     ranked = sorted((len(t.compressor.compress(data)), t.name, t) for t in templates)
     findings = []
-    for size, name, template in ranked[:BEST]:
-        if plain - size >= SAVED * plain:
-            matched, differences = _wording(words, template.words)
-            if matched >= CONFIRMED * len(words):
+    nearly = ranked[min(BEST, len(ranked)) - 1][0] + max(8, plain // 10)
+    for size, name, template in ranked:
+        if size <= nearly and plain - size >= SAVED * plain:
+            matched, differences, named = _wording(words, template.words)
+            if matched >= CONFIRMED * len(words) and not named:
                 findings.append((len(differences), size, name, Finding(name, plain, size, matched, len(words), differences)))
     return min(findings)[3] if findings else None
 
 
+def confirmed(text: str, templates: list[Template], alone: zstandard.ZstdCompressor) -> Iterator[tuple[int, int, Finding]]:
+    """(start, end, finding) of a text: of blocks near each other together, or else of each."""
+    groups: list[list[tuple[int, int]]] = []
+    for block in blocks(text):
+        if groups and block[0] - groups[-1][-1][1] <= NEAR:
+            groups[-1].append(block)
+        else:
+            groups.append([block])
+    for group in groups:
+        spans = [(group[0][0], group[-1][1])]
+        together = identify(text[spans[0][0]:spans[0][1]], templates, alone)
+        if together is None and len(group) > 1:
+            spans = group
+        for start, end in spans:
+            finding = together or (identify(text[start:end], templates, alone) if len(group) > 1 else None)
+            if finding:
+                yield start, end, finding
+
+
 def _may_hold(text: Column) -> Column:
     lowered = F.lower(text)
     found = F.lit(False)
@@ -195,11 +292,9 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, *, k
             place, found = [], []
             for i, (low, high) in enumerate(zip(chunk.bounds[:-1].tolist(), chunk.bounds[1:].tolist(), strict=True)):
                 text = chunk.text(low, high)
-                for start, end in blocks(text):
-                    finding = identify(text[start:end], known, alone)
-                    if finding:
-                        place.append(chunk.first + i)
-                        found.append((start, end, *finding, text[start:end]))
+                for start, end, finding in confirmed(text, known, alone):
+                    place.append(chunk.first + i)
+                    found.append((start, end, *finding, text[start:end]))
             columns = list(zip(*found, strict=True)) or [()] * 9
             kinds = [pa.int32(), pa.int32(), pa.string(), *[pa.int32()] * 4, pa.list_(pa.string()), pa.string()]
             yield pa.RecordBatch.from_arrays([

@@ -1,3 +1,7 @@
+import re
+import textwrap
+from importlib.resources import files
+
 from cooccur.llm import licenses
 
 MIT = " ".join(licenses.TEMPLATES["MIT"].split())
@@ -24,3 +28,31 @@ def test_blocks_and_wording(spark, odd_rows):
 def test_empty_and_clashing(empty, clashing):
     assert licenses.scan_licenses(empty).count() == 0
     assert licenses.scan_licenses(clashing, keep=("doc_id", "size")).count() == 0
+
+
+NOTICE = """This program is free software{sign} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public
+License as published by the Free Software Foundation{sign} either version {version} of the License, or (at your option) any later version."""
+MIT_WHOLE = "Copyright (c) 2019 Some Body\n\n" + "\n\n".join(re.split(r"(?<=so\.) |(?<=portions of the software\.) ", MIT.partition(" released under")[0]))
+
+
+def test_whole_licenses_wrapped_and_not():
+    known, alone = licenses._templates(licenses.TEMPLATES), licenses._compressor(None)
+    names = lambda text: [f.license for _, _, f in licenses.confirmed(text, known, alone)]
+    whole = {"MIT": MIT_WHOLE}
+    for name in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"):
+        whole[name] = files("cooccur.llm").joinpath("license_texts", f"{name}.txt").read_text("utf-8")
+    for name in ("BSD-2-Clause", "BSD-3-Clause", "ISC"):
+        whole[name] = " ".join(licenses.TEMPLATES[name].split()).partition(" released under")[0]
+    for name, text in whole.items():
+        paragraphs = [" ".join(p.split()) for p in re.split(r"\n\s*\n", text)]
+        for form in (text, "\n".join(paragraphs), " ".join(paragraphs), "\n\n".join(textwrap.fill(p, 72) for p in paragraphs)):
+            assert set(names(form)) == {name}, (name, form[:80])
+
+
+def test_versions_and_names_are_told_apart():
+    known, alone = licenses._templates(licenses.TEMPLATES), licenses._compressor(None)
+    for name, kind, version, sign in (("GPL-2.0", "", "2", ";"), ("GPL-3.0", "", "3", ":"), ("LGPL-3.0", "Lesser ", "3", ":"), ("AGPL-3.0", "Affero ", "3", ":")):
+        found = licenses.identify(NOTICE.format(kind=kind, version=version, sign=sign), known, alone)
+        assert found and found.license == name
+    assert licenses.identify("Licensed under the Apache License, Version 1.1.", known, alone) is None
+    assert licenses.identify(NOTICE.format(kind="", version="7", sign=":"), known, alone) is None
