@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cooccur.llm import classlm, decontaminate, licenses, minhash, mixing, records, rules, secrets, toxicity, transcripts
+from cooccur.llm import classlm, decontaminate, licenses, minhash, mixing, periods, records, rules, secrets, toxicity, transcripts
 from cooccur.llm.frames import freeze, learnable
 from cooccur.llm.oracles import ORACLES
 
@@ -24,6 +24,8 @@ LINK_PERCENT = 85
 #: Fixed by the contract of the token query.
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+#: Fixed by the contract of the query on periodic runs.
+RUN_WORDS, RUN_TIMES = 6, 4
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -36,6 +38,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) as the contract of the query on periodic runs wants it: a tenth of the texts made periodic.
+
+    With h = crc32 of the id's digits and g = floor(h / 10): if 10 divides h, the words from
+    a = g % n on repeat the p words there, p = 1 + floor((n - a) / (3 + g % 8)). A null id has h = 0.
+    """
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0))
+    parts = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g"))
+    dealt = parts.withColumn("a", F.expr("g % size(w)")).withColumn("p", F.expr("1 + (size(w) - a) div (3 + g % 8)"))
+    repeated = F.expr("array_join(transform(w, (x, i) -> if(i < a, x, w[int(a + (i - a) % p)])), ' ')")
+    return dealt.select("doc_id", F.when(F.size("w") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(table(spark, sf_dir, "documents"), MIX_WEIGHTS, max_epochs=MIX_EPOCHS)
     return mix.select("doc_id", "size", "source_size", "target", "taken", "times")
@@ -96,6 +112,16 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")), least=RUN_WORDS, times=RUN_TIMES)
+    best = periods.strongest("runs")
+    listed = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(listed, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_class_lm": op2_class_lm,
@@ -107,4 +133,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rule_cascade": op8_rule_cascade,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_records": op10_token_records,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -42,6 +42,8 @@ def _members(*spans: tuple[int, int]) -> np.ndarray:
 
 #: Everything but the six ASCII white-space characters; A-Z folded.
 SPACED = alphabet(~_members((0x20, 0x20), (0x09, 0x0D)))
+#: The same words, with upper and lower case told apart.
+CASED = alphabet(SPACED.member, fold=False)
 #: ASCII letters and digits, and everything beyond ASCII; A-Z folded.
 ALNUM = alphabet(_members((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)))
 
@@ -152,3 +154,18 @@ def list_array(values: pa.Array, sizes: np.ndarray | list[int]) -> pa.ListArray:
     offsets = np.zeros(len(sizes) + 1, np.int32)
     np.cumsum(sizes, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), values)
+
+
+def joined(raw: np.ndarray, start: np.ndarray, end: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A text for each group of ``sizes`` consecutive spans of bytes: the spans joined by one space."""
+    lengths = end - start
+    width = lengths + 1
+    width[np.cumsum(sizes)[sizes > 0] - 1] -= 1
+    at = np.cumsum(width) - width
+    before = np.cumsum(lengths) - lengths
+    out = np.full(int(width.sum()), 0x20, np.uint8)
+    byte = np.arange(int(lengths.sum()))
+    out[byte + np.repeat(at - before, lengths)] = raw[byte + np.repeat(start - before, lengths)]
+    bounds = np.zeros(len(sizes) + 1, np.int64)
+    bounds[1:] = np.append(0, np.cumsum(width))[np.cumsum(sizes)]
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(bounds), pa.py_buffer(out)).cast(pa.string())
