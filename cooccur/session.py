@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -58,6 +60,17 @@ def allow_group_limit(spark: SparkSession, bound: int) -> None:
         spark.conf.set(GROUP_LIMIT, str(bound))
 
 
+@contextmanager
+def group_limit(spark: SparkSession, bound: int) -> Iterator[None]:
+    """Like :func:`allow_group_limit`, for what is run inside the block only."""
+    before = spark.conf.get(GROUP_LIMIT)
+    allow_group_limit(spark, bound)
+    try:
+        yield
+    finally:
+        spark.conf.set(GROUP_LIMIT, before)
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 
