@@ -50,4 +50,28 @@ select doc_id, cast(n_words as bigint) n_words, cast(word_chars as bigint) word_
          or word_chars > 40 * n_words or 2 * worded < n_words or 3 * commonest > n_words) kept
 from judged"""
 
-ORACLES = {"op4_decontaminate": DECONTAMINATE, "op8_rule_cascade": RULE_CASCADE}
+#: All phrases of all pieces are counted, all cuts are priced, and all parts of longer phrases are looked up.
+PHRASES = rf"""
+with doc as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') t from documents),
+piece as (select lang, regexp_extract_all(unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') w from doc),
+total as (select lang, cast(sum(len(w)) as bigint) n from piece group by lang),
+place as (select lang, w, k, unnest(range(1, len(w) - k + 2)) i from piece, (select unnest([1, 2, 3, 4]) k) where len(w) >= k),
+found as (select lang, k, array_to_string(w[i:i + k - 1], ' ') phrase, count(*) f from place group by all having count(*) >= 30),
+split as (select *, string_split(phrase, ' ') w from found where k > 1),
+cut as (
+    select s.lang, s.k, s.phrase, s.f a, j, x.f l, y.f r, cast(floor((cast(2000000 as hugeint) * s.f) // (x.f + y.f)) as bigint) score
+    from (select *, unnest(range(1, k)) j from split) s
+    join found x on x.lang = s.lang and x.phrase = array_to_string(s.w[1:j], ' ')
+    join found y on y.lang = s.lang and y.phrase = array_to_string(s.w[j + 1:], ' ')),
+priced as (select * from cut qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+part as (
+    select lang, f, array_to_string(w[i:i + j - 1], ' ') phrase
+    from (select *, unnest(range(1, k - j + 2)) i from (select *, unnest(range(2, k)) j from split))),
+most as (select lang, phrase, max(f) f from part group by all),
+ranked as (
+    select p.*, row_number() over (partition by p.lang order by score desc, a desc, p.phrase) place
+    from priced p left join most m on m.lang = p.lang and m.phrase = p.phrase
+    where m.f is null or 100 * cast(m.f as hugeint) < 80 * cast(a as hugeint))
+select lang, place "rank", phrase, a, l, r, n, score from ranked join total using (lang) where place <= 2000"""
+
+ORACLES = {"op4_decontaminate": DECONTAMINATE, "op8_rule_cascade": RULE_CASCADE, "op11_phrases": PHRASES}

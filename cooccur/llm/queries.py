@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cooccur.llm import classlm, decontaminate, licenses, minhash, mixing, periods, records, rules, secrets, toxicity, transcripts
+from cooccur.llm import classlm, decontaminate, licenses, minhash, mixing, periods, phrases, records, rules, secrets, toxicity, transcripts
 from cooccur.llm.frames import freeze, learnable
 from cooccur.llm.oracles import ORACLES
 
@@ -24,6 +24,8 @@ LINK_PERCENT = 85
 #: Fixed by the contract of the token query.
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+#: Fixed by the contract of the phrase query.
+PHRASES, PHRASE_WORDS, PHRASE_COUNT, ABSORBED = 2000, 4, 30, 80
 #: Fixed by the contract of the query on periodic runs.
 RUN_WORDS, RUN_TIMES = 6, 4
 
@@ -112,6 +114,11 @@ def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(
+        table(spark, sf_dir, "documents"), top=PHRASES, longest=PHRASE_WORDS, least=PHRASE_COUNT, percent=ABSORBED)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periods.periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")), least=RUN_WORDS, times=RUN_TIMES)
     best = periods.strongest("runs")
@@ -133,5 +140,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rule_cascade": op8_rule_cascade,
     "op9_secret_scan": op9_secret_scan,
     "op10_token_records": op10_token_records,
+    "op11_phrases": op11_phrases,
     "op13_periodic_runs": op13_periodic_runs,
 }

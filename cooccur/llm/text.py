@@ -40,6 +40,10 @@ def _members(*spans: tuple[int, int]) -> np.ndarray:
     return member
 
 
+#: Bytes with A-Z folded.
+FOLDED = np.arange(256, dtype=np.uint8)
+FOLDED[ord("A"): ord("Z") + 1] += 32
+
 #: Everything but the six ASCII white-space characters; A-Z folded.
 SPACED = alphabet(~_members((0x20, 0x20), (0x09, 0x0D)))
 #: The same words, with upper and lower case told apart.
