@@ -74,4 +74,16 @@ ranked as (
     where m.f is null or 100 * cast(m.f as hugeint) < 80 * cast(a as hugeint))
 select lang, place "rank", phrase, a, l, r, n, score from ranked join total using (lang) where place <= 2000"""
 
-ORACLES = {"op4_decontaminate": DECONTAMINATE, "op8_rule_cascade": RULE_CASCADE, "op11_phrases": PHRASES}
+#: Every asked vector with every other one.
+TOP_MATCHES = """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) ints from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+    select q.vec_id query_id, c.vec_id, cast(list_inner_product(q.ints, c.ints) as bigint) score
+    from v q join v c on c.vec_id <> q.vec_id where q.vec_id % 20 = 0),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) place from scored)
+select query_id, cast(place as integer) "rank", vec_id, score from ranked where place <= 20"""
+
+ORACLES = {"op4_decontaminate": DECONTAMINATE, "op8_rule_cascade": RULE_CASCADE, "op11_phrases": PHRASES,
+           "op12_top_matches": TOP_MATCHES}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cooccur.llm import classlm, decontaminate, licenses, minhash, mixing, periods, phrases, records, rules, secrets, toxicity, transcripts
+from cooccur.llm import classlm, decontaminate, licenses, minhash, mixing, periods, phrases, records, rules, secrets, topk, toxicity, transcripts
 from cooccur.llm.frames import freeze, learnable
 from cooccur.llm.oracles import ORACLES
 
@@ -26,6 +26,8 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: Fixed by the contract of the phrase query.
 PHRASES, PHRASE_WORDS, PHRASE_COUNT, ABSORBED = 2000, 4, 30, 80
+#: Fixed by the contract of the search: every how many ids are asked for, how many are found, steps of a component.
+ASKED, MATCHES, SCALE = 20, 20, 64.0
 #: Fixed by the contract of the query on periodic runs.
 RUN_WORDS, RUN_TIMES = 6, 4
 
@@ -119,6 +121,11 @@ def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), top=PHRASES, longest=PHRASE_WORDS, least=PHRASE_COUNT, percent=ABSORBED)
 
 
+def op12_top_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_matches(vectors, F.col("vec_id") % ASKED == 0, k=MATCHES, scale=SCALE)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = periods.periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")), least=RUN_WORDS, times=RUN_TIMES)
     best = periods.strongest("runs")
@@ -141,5 +148,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_token_records": op10_token_records,
     "op11_phrases": op11_phrases,
+    "op12_top_matches": op12_top_matches,
     "op13_periodic_runs": op13_periodic_runs,
 }
