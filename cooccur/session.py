@@ -71,25 +71,86 @@ def group_limit(spark: SparkSession, bound: int) -> Iterator[None]:
         spark.conf.set(GROUP_LIMIT, before)
 
 
-def freeze(df: DataFrame) -> DataFrame:
+#: Lets a query that is through remove its own shuffle files, which otherwise stay until the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Tables written inside each open :func:`scratch` block, innermost last.
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def _own_shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
+def _written(df: DataFrame, label: str = "table") -> str:
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return path
+
+
+def freeze(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and go on from there.
 
     Used where a result feeds several branches of a plan: it is computed once, the
     branches keep column pruning and file statistics, and a lost executor costs a
-    re-read, not a recomputation. :func:`release` removes the tables.
+    re-read, not a recomputation. The shuffle files of the query that writes it go when
+    it is through. Inside a :func:`scratch` block the table lasts as long as the block;
+    a table to ``keep`` lasts as long as the block around that one. :func:`release`
+    removes all tables.
     """
-    path = fresh_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return freeze_all(df, keep=keep)[0]
 
 
-def freeze_all(*frames: DataFrame) -> list[DataFrame]:
+def freeze_all(*frames: DataFrame, keep: bool = False) -> list[DataFrame]:
     """Freeze independent frames at the same time, so one job's stragglers do not idle the cluster."""
-    with ThreadPoolExecutor(len(frames)) as pool:
-        return list(pool.map(inheritable_thread_target(frames[0].sparkSession)(freeze), frames))
+    spark = frames[0].sparkSession
+    with _own_shuffles_removed(spark):
+        if len(frames) == 1:
+            paths = [_written(frames[0])]
+        else:
+            with ThreadPoolExecutor(len(frames)) as pool:
+                paths = list(pool.map(inheritable_thread_target(spark)(_written), frames))
+    blocks = _SCRATCH[:-1] if keep else _SCRATCH
+    if blocks:
+        blocks[-1].extend(paths)
+    tables = [spark.read.schema(df.schema).parquet(path) for df, path in zip(frames, paths)]
+    for table, path in zip(tables, paths):
+        table.frozen_at = path
+    return tables
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove frozen tables that nothing will read any more."""
+    for table in tables:
+        _remove(table.sparkSession, table.frozen_at)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables frozen inside the block at its end, but those to keep.
+
+    What leaves the block must rest on kept tables and on the block's inputs only.
+    """
+    made: list[str] = []
+    _SCRATCH.append(made)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(made)
+        for path in made:
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
 
 
 def release(spark: SparkSession) -> None:
     """Remove the application's intermediate tables; frames built on them become unreadable."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(session_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _remove(spark, session_dir(spark))
