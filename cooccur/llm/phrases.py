@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from cooccur.llm.frames import freeze
 from cooccur.llm.text import FOLDED, U64, alphabet, chunks, joined, mixed, words_of
-from cooccur.session import group_limit
+from cooccur.session import discard, group_limit, scratch
 
 UNKNOWN = "und"
 #: What ends a piece, and what parts words inside a piece.
@@ -112,16 +112,16 @@ def occurrences(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> D
     return rows.mapInArrow(task, "block long, code int, lang string, word string, n long, gaps binary, codes binary")
 
 
-def frequent(counted: DataFrame, keys: list[str], least: int) -> tuple[DataFrame, DataFrame]:
-    """The phrases with at least ``least`` occurrences, with new ids, and where they are: (id, keys, f), (block, code, id).
+def frequent(counted: DataFrame, keys: list[str], least: int) -> DataFrame:
+    """Where the phrases with at least ``least`` occurrences are: (block, code, keys, f, row, id).
 
-    Each block has one row for a phrase, so the rows of a phrase are at most as many as there are blocks.
+    Each block has one row for a phrase, so the rows of a phrase are at most as many as there are
+    blocks. A phrase's id is the least number of its rows, given to them after they met; the result
+    is written once, so ids stay what they are.
     """
-    total = F.sum("n").over(W.partitionBy(*keys))
-    kept = freeze(counted.withColumn("f", total).where(F.col("f") >= least).select("block", "code", *keys, "f"))
-    # Written once, so that ids stay what they are.
-    phrases = freeze(kept.groupBy(*keys).agg(F.first("f").alias("f")).withColumn("id", F.monotonically_increasing_id() + 1))
-    return phrases, kept.join(phrases.select(*keys, "id"), keys).select("block", "code", "id")
+    of = W.partitionBy(*keys)
+    kept = counted.withColumn("f", F.sum("n").over(of)).where(F.col("f") >= least).withColumn("row", F.monotonically_increasing_id() + 1)
+    return freeze(kept.withColumn("id", F.min("row").over(of)).select("block", "code", *keys, "f", "row", "id"))
 
 
 def extended(relation: DataFrame, places: DataFrame, last: bool) -> DataFrame:
@@ -172,25 +172,28 @@ def mine(
     counts of the phrase's first and last 1, 2, ... words, ``head`` and ``tail`` the ids of the
     phrase without its last and first word. Words: (lang, n).
     """
-    relation = freeze(occurrences(docs, text=text, lang=lang))
-    counted = relation.where("code is not null")
-    totals = freeze(counted.groupBy("lang").agg(F.sum("n").alias("n")))
-    found, places = frequent(counted, ["lang", "word"], least)
+    spark = docs.sparkSession
     own = F.array("f")
     none = F.lit(None).cast("long")
-    level = found.select(
-        F.lit(1).alias("size"), "id", "lang", F.array("word").alias("words"), "f", own.alias("begins"), own.alias("ends"),
-        none.alias("head"), none.alias("tail"))
-    levels = [level]
-    for size in range(2, longest + 1):
-        relation = freeze(extended(relation, places, size == longest))
-        found, places = frequent(relation.where("code is not null"), ["head", "tail"], least)
-        heads = level.select(F.col("id").alias("head"), "lang", "words", "begins")
-        tails = level.select(F.col("id").alias("tail"), F.element_at("words", -1).alias("word"), "ends")
-        level = freeze(found.join(heads, "head").join(tails, "tail").select(
-            F.lit(size).alias("size"), "id", "lang", F.array_append("words", F.col("word")).alias("words"), "f",
-            F.array_append("begins", F.col("f")).alias("begins"), F.array_append("ends", F.col("f")).alias("ends"), "head", "tail"))
-        levels.append(level)
+    levels: list[DataFrame] = []
+    with scratch(spark):
+        relation = freeze(occurrences(docs, text=text, lang=lang))
+        counted = relation.where("code is not null")
+        totals = freeze(counted.groupBy("lang").agg(F.sum("n").alias("n")), keep=True)
+        found = frequent(counted, ["lang", "word"], least)
+        levels.append(freeze(found.where("row = id").select(
+            F.lit(1).alias("size"), "id", "lang", F.array("word").alias("words"), "f", own.alias("begins"), own.alias("ends"),
+            none.alias("head"), none.alias("tail")), keep=True))
+        for size in range(2, longest + 1):
+            longer = freeze(extended(relation, found.select("block", "code", "id"), size == longest))
+            discard(relation, found)
+            relation, found = longer, frequent(longer.where("code is not null"), ["head", "tail"], least)
+            heads = levels[-1].select(F.col("id").alias("head"), "lang", "words", "begins")
+            tails = levels[-1].select(F.col("id").alias("tail"), F.element_at("words", -1).alias("word"), "ends")
+            levels.append(freeze(found.where("row = id").join(heads, "head").join(tails, "tail").select(
+                F.lit(size).alias("size"), "id", "lang", F.array_append("words", F.col("word")).alias("words"), "f",
+                F.array_append("begins", F.col("f")).alias("begins"), F.array_append("ends", F.col("f")).alias("ends"), "head", "tail"),
+                keep=True))
     phrases = levels[0]
     for level in levels[1:]:
         phrases = phrases.unionByName(level)
