@@ -20,8 +20,9 @@ are in ascending order of doc_id, null ids first, both inside a file and by the
 their name. The index is derived from the committed files, a row per record: file, offset,
 length, doc_id, number of ids before it and in it.
 
-Null and empty texts are records with only the end id. Repeated rows are repeated records. An
-empty table gives no records. Other columns of the input are not read.
+Null and empty texts are records with only the end id. Repeated rows are repeated records, rows
+with equal ids stand in the order of their texts' digests; they may fill any number of files. A
+very long text is one record. An empty table gives no records. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cooccur.llm.frames import arrow_rows, freeze, fresh_path
+from cooccur.llm.frames import arrow_rows, freeze, fresh_path, text_digest
 from cooccur.llm.text import Chunk, alphabet, chunks, spans_hash
 
 #: Fixed values of the record format.
@@ -185,8 +186,12 @@ def write_records(
     text: str = "text", doc_id: str = "doc_id",
 ) -> None:
     """Encode every text, append ``end_id``, and write the records under ``path``/data and their index under ``path``/index."""
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    ranged = rows.repartitionByRange(files, "doc_id") if files else rows.repartitionByRange("doc_id")
+    # Rows with equal ids are ordered by their texts' digests, equal rows by numbers, so that no number
+    # of equal ids or rows has to go into one file.
+    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = rows.withColumn("digest", text_digest("text")).withColumn("nth", F.monotonically_increasing_id())
+    order = [F.col("doc_id").asc_nulls_first(), "digest", "nth"]
+    ranged = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
@@ -200,8 +205,7 @@ def write_records(
                 at = until
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    # Equal ids are ordered by text, so that a rerun writes the same files.
-    framed_rows = arrow_rows(ranged.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"), work, "record binary")
+    framed_rows = arrow_rows(ranged.sortWithinPartitions(*order).select("doc_id", "text"), work, "record binary")
     framed_rows.select(F.col("record").cast("string").alias("value")).write.text(f"{path}/data", lineSep=CLOSE.decode())
     scan_records(docs.sparkSession, path).select(
         "file", "offset", "length", "doc_id", "start", "n_tokens").write.parquet(f"{path}/index")

@@ -8,6 +8,7 @@ from cooccur.llm import records
 from cooccur.llm.queries import END_ID, tokenizer_path
 from cooccur.llm.text import chunks
 from cooccur.session import fresh_path
+from tests.llm.conftest import SCHEMA, words
 
 
 @pytest.fixture(scope="module")
@@ -56,3 +57,17 @@ def test_damage_is_found():
 
 def test_empty(spark, empty):
     assert records.token_records(empty, tokenizer=tokenizer_path(), end_id=END_ID).count() == 0
+
+
+def test_equal_ids_and_rows_fill_several_files(spark, tmp_path):
+    """A third of the rows have no id, half of these one text."""
+    rows = [(None, "same text" if i % 2 else words(20, i), "en", "s", 0) for i in range(900)] + [(i, words(20, i), "en", "s", 0) for i in range(1800)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    path = str(tmp_path / "records")
+    found = records.token_records(docs, tokenizer=tokenizer_path(), end_id=2, path=path, files=12)
+    per_file = [r["count"] for r in found.groupBy("file").count().collect()]
+    assert sum(per_file) == 2700 and max(per_file) <= 2700 / 12 * 2.5
+    assert found.where("doc_id is null").select("file").distinct().count() > 2
+    ordered = found.orderBy("start").collect()
+    assert [r["start"] for r in ordered] == [sum(x["n_tokens"] for x in ordered[:i]) for i in range(0, 2700)][:2700]
+    assert [r["doc_id"] for r in ordered][900:] == list(range(1800))
