@@ -7,8 +7,11 @@ seeded selection of documents one more, so that its words come within half a doc
 target. DataFrame functions only.
 
 Null and empty texts have size 0 and are never taken. A null source is a source of its own,
-the last in order. Repeated rows are separate documents that are taken alike. Sources without
-words get the target 0; an empty table gives an empty mix.
+the last in order. Repeated rows are separate documents: where only a part of rows with equal id
+and text fits, so many of them are taken once more (which of them depends on how the rows lie in
+their files). Very long texts are documents like others: a source is off its target by half of
+its last document at most. Sources without words get the target 0; an empty table gives an empty
+mix. Other columns may have any names.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 from cooccur.llm.frames import freeze, scalar_row, unused
 from cooccur.operators.numbering import number_rows
+from cooccur.session import scratch
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Digits of the seeded place of a document that each step of the selection looks at.
@@ -89,22 +93,50 @@ def extra_repetitions(sized: DataFrame, rests: DataFrame) -> DataFrame:
         stepped = sums.withColumn("start", F.col("before") + F.coalesce(F.sum("words").over(earlier), F.lit(0)))
         reached = stepped.where((F.col("start") < F.col("rest")) & (F.col("start") + F.col("words") >= F.col("rest")))
         found = freeze(reached.select("src", "rest", F.col("start").alias("before"), F.col("at").alias("head")))
-    order = ["id", "tie"]
-    last = sized.join(found, "src").where("place = head")
-    so_far = W.partitionBy("src").orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(W.unboundedPreceding, -1)
-    within = last.withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(so_far), F.lit(0)))
-    taken = F.col("start") + F.col("size") / 2 <= F.col("rest")
-    limits = within.where(taken).groupBy("src").agg(F.max(F.struct(*order)).alias("last"))
-    return found.join(limits, "src", "left").select("src", "head", "last")
+    # Rows with equal id and text are alike: of these groups one is taken in part, if any.
+    groups = sized.join(found, "src").where("place = head").groupBy("src", "id", "tie").agg(
+        F.count("*").alias("rows"), F.max("size").alias("size"), F.max("rest").alias("rest"), F.max("before").alias("before"))
+    so_far = W.partitionBy("src").orderBy(F.asc_nulls_first("id"), F.asc("tie")).rowsBetween(W.unboundedPreceding, -1)
+    start = F.col("before") + F.coalesce(F.sum(F.col("rows") * F.col("size")).over(so_far), F.lit(0))
+    fitting = F.least(F.col("rows"), F.floor((F.col("rest") - start) / F.greatest(F.col("size"), F.lit(1)) + 0.5))
+    limits = freeze(groups.withColumn("taken", fitting).where("taken >= 1").groupBy("src").agg(
+        F.max(F.struct("id", "tie", "taken", "rows")).alias("g")).select("src", "g.*"))
+    cut = _nth_rows(sized, limits.where("taken < rows"))
+    last = F.struct("id", "tie", F.coalesce("nth", F.lit((1 << 63) - 1)).alias("row"))
+    return found.join(limits.join(cut, "src", "left").select("src", last.alias("last")), "src", "left").select("src", "head", "last")
+
+
+def _nth_rows(sized: DataFrame, groups: DataFrame) -> DataFrame:
+    """(src, nth): the number of the ``taken``-th of each group's rows, by their numbers.
+
+    Counts of leading digits find it, so a group that holds most of a source is never sorted.
+    """
+    wanted = groups.select("src", "id", "tie", "taken")
+    if not wanted.head(1):
+        return groups.sparkSession.createDataFrame([], wanted.select("src", F.lit(0).cast("long").alias("nth")).schema)
+    own = sized.select("src", "id", "tie", "row").alias("a").join(
+        wanted.alias("b"), (F.col("a.src") == F.col("b.src")) & F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.tie") == F.col("b.tie"))
+    ).select("a.src", "row", "taken")
+    found = own.select("src", F.lit(0).cast("long").alias("head"), F.lit(0).cast("long").alias("before")).distinct()
+    for shift in range(60, -1, -STEP_BITS):
+        above = F.lit(0) if shift == 60 else F.shiftright("row", shift + STEP_BITS)
+        counts = own.join(found, "src").where(above == F.col("head")).groupBy("src", F.shiftright("row", shift).alias("at")).agg(
+            F.count("*").alias("n"), F.max("taken").alias("taken"), F.max("before").alias("before"))
+        earlier = W.partitionBy("src").orderBy("at").rowsBetween(W.unboundedPreceding, -1)
+        reached = counts.withColumn("start", F.col("before") + F.coalesce(F.sum("n").over(earlier), F.lit(0))).where(
+            (F.col("start") < F.col("taken")) & (F.col("start") + F.col("n") >= F.col("taken")))
+        found = freeze(reached.select("src", F.col("at").alias("head"), F.col("start").alias("before")))
+    return found.select("src", F.col("head").alias("nth"))
 
 
 def _keyed(docs: DataFrame, seed: int, text: str, source: str, doc_id: str) -> DataFrame:
-    """``docs`` with one more column, a struct of what the selection needs of a document."""
+    """(doc, mix): a row's columns, and what the selection needs of it."""
     tie = F.coalesce(F.xxhash64(F.col(text)), F.lit(0))
     key = F.struct(
         F.struct(F.col(source).alias("source")).alias("src"), F.col(doc_id).alias("id"), tie.alias("tie"),
-        word_count(F.col(text)).alias("size"), _place(seed, F.col(doc_id), tie).alias("place"))
-    return docs.withColumn(unused(docs, "mix"), key)
+        word_count(F.col(text)).alias("size"), _place(seed, F.col(doc_id), tie).alias("place"),
+        F.monotonically_increasing_id().alias("row"))
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), key.alias("mix"))
 
 
 def mix_plan(sized: DataFrame, weights: Sequence[float] | DataFrame, *, max_epochs: int = 3, budget: float | None = None) -> DataFrame:
@@ -132,7 +164,7 @@ def mix_plan(sized: DataFrame, weights: Sequence[float] | DataFrame, *, max_epoc
 def _times(key: str) -> Column:
     of = F.col(key)
     once_more = (of["place"] < F.col("head")) | (
-        (of["place"] == F.col("head")) & (F.struct(of["id"].alias("id"), of["tie"].alias("tie")) <= F.col("last")))
+        (of["place"] == F.col("head")) & (F.struct(of["id"].alias("id"), of["tie"].alias("tie"), of["row"].alias("row")) <= F.col("last")))
     return F.when(of["size"] > 0, F.col("whole") + F.coalesce(once_more, F.lit(False)).cast("long")).otherwise(F.lit(0)).cast("long")
 
 
@@ -145,7 +177,7 @@ def mix_sources(
     The selection depends on the seed, the ids and the texts only.
     """
     keyed = _keyed(docs.select(doc_id, source, text), seed, text, source, doc_id)
-    sized = freeze(keyed.select(f"{keyed.columns[-1]}.*"))
+    sized = freeze(keyed.select("mix.*"))
     plan = mix_plan(sized, weights, max_epochs=max_epochs, budget=budget)
     timed = sized.withColumn("_mix", F.struct(*sized.columns)).join(plan, "src").withColumn("times", _times("_mix"))
     return timed.select(
@@ -159,13 +191,13 @@ def apply_mix(
 ) -> DataFrame:
     """``docs`` as the mix takes them: a row for each repetition, with the columns of ``docs``.
 
-    Whole rows meet only the plan's one row per source; texts are not shuffled.
+    Whole rows meet only the plan's one row per source; texts are not shuffled. The table is read
+    twice: if it doesn't come from files, so that rows may lie differently the second time, and a
+    source's last document has copies with its id, a few more or less of these may be taken.
     """
     keyed = _keyed(docs, seed, text, source, doc_id)
-    key = keyed.columns[-1]
-    sized = freeze(keyed.select(f"{key}.*"))
-    plan = mix_plan(sized, weights, max_epochs=max_epochs, budget=budget).select(
-        F.col("src").alias("_plan_src"), F.struct("whole", "head", "last").alias("_plan"))
-    joined = keyed.join(plan, keyed[key]["src"] == plan["_plan_src"])
-    bare = joined.select(F.struct(*[joined[c] for c in docs.columns]).alias("_row"), joined[key].alias("_mix"), "_plan.*")
-    return bare.select("_row", F.explode(F.array_repeat(F.lit(0), _times("_mix").cast("int"))).alias("_nth")).select("_row.*")
+    with scratch(docs.sparkSession):
+        sized = freeze(keyed.select("mix.*"))
+        plan = freeze(mix_plan(sized, weights, max_epochs=max_epochs, budget=budget).select("src", "whole", "head", "last"), keep=True)
+    timed = keyed.join(plan, keyed["mix"]["src"] == plan["src"]).select("doc", _times("mix").cast("int").alias("times"))
+    return timed.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("nth")).select("doc.*")

@@ -48,3 +48,43 @@ def test_weights_by_table(spark):
     weights = spark.createDataFrame([("a", 1.0), ("b", 3.0)], "source string, weight double")
     found = mixing.mix_sources(docs, weights).groupBy("source").agg(F.sum("taken").alias("t")).collect()
     assert {r["source"]: r["t"] for r in found} == {"a": 100, "b": 300}
+
+
+def plain_targets(sizes, weights, most):
+    """Water-filling by clamping one round after the other."""
+    order = sorted((s for s in sizes if s is not None), key=lambda s: s) + [s for s in sizes if s is None]
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    wanted, clamped = sum(sizes.values()), set()
+    while True:
+        free = sum(weight[s] for s in sizes if s not in clamped)
+        left = wanted - sum(most * sizes[s] for s in clamped)
+        target = {s: most * sizes[s] if s in clamped else left * weight[s] / free for s in sizes}
+        over = {s for s in sizes if s not in clamped and target[s] > most * sizes[s]}
+        if not over:
+            return target
+        clamped |= over
+
+
+def test_repeated_rows_do_not_overshoot(spark, tmp_path):
+    """Sources of equal rows only, with equal and with null ids, come within a document of their targets."""
+    rows = [(1, "one two", "en", "a", 0)] * 4000 + [(None, "x y z", "en", "b", 0)] * 3000 + [(None, "x y z", "en", None, 0)] * 10
+    rows += [(i, words(5 + i % 30, i), "en", "c", 0) for i in range(2000)]
+    spark.createDataFrame(rows, SCHEMA).repartition(5).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    found = mixing.mix_sources(docs, (5, 2, 1)).groupBy("source").agg(
+        F.sum("size").alias("size"), F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("most"),
+        F.max("times").alias("times")).collect()
+    want = plain_targets({r["source"]: r["size"] for r in found}, (5, 2, 1), 3)
+    for r in found:
+        assert abs(r["target"] - want[r["source"]]) < 1e-6 * want[r["source"]]
+        assert abs(r["taken"] - r["target"]) <= r["most"] and r["times"] <= 3
+    counts = {r["source"]: r["n"] for r in mixing.apply_mix(docs, (5, 2, 1)).groupBy("source").agg(
+        F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()}
+    assert counts == {r["source"]: r["taken"] for r in found}
+
+
+def test_columns_of_any_name(odd):
+    names = ("_plan", "_plan_src", "whole", "head", "last", "doc", "mix", "nth", "row", "times", "src")
+    named = odd.withColumns({c: F.lit(7) for c in names})
+    taken = mixing.apply_mix(named, (5, 2, 1))
+    assert taken.columns == named.columns and taken.where("_plan = 7 and doc = 7").count() == taken.count() > 0
