@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from cooccur.llm.components import components
 from cooccur.llm.frames import arrow_rows, freeze, unused
 from cooccur.llm.text import SPACED, U64, chunks, grams_of, list_array, mixed, words_of
+from cooccur.session import scratch
 
 BANDS = 24
 ROWS = 4
@@ -132,10 +133,19 @@ def _digest(ordered: np.ndarray) -> bytes:
     return len(ordered).to_bytes(4, "big") + a.to_bytes(8, "big") + b.to_bytes(8, "big")
 
 
-def class_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """(class, shingles): the full sets of the wanted classes. ``wanted`` has a text_key for each."""
-    keyed = docs.select(F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("text_key"), F.col(f"`{text}`").cast("string").alias("text"))
-    rows = keyed.join(wanted.select("text_key"), "text_key", "left_semi").dropDuplicates(["text_key"])
+def class_sets(docs: DataFrame, wanted: DataFrame, size: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(class, shingles): the full sets of the wanted classes. ``wanted`` has the (doc_id, text_key) of one row of each.
+
+    Copies of a text differ in their ids, so they don't meet in one task; rows that don't are the
+    same row. The wanted rows grow with the table, so texts always go to them by a shuffle.
+    """
+    keyed = docs.select(
+        F.col(f"`{doc_id}`").alias("doc_id"), F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("text_key"),
+        F.col(f"`{text}`").cast("string").alias("text"))
+    one = wanted.select(F.col("doc_id").alias("own_id"), F.col("text_key").alias("own_key"))
+    rows = keyed.join(
+        one.hint("merge"), F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_key") == F.col("own_key")), "left_semi",
+    ).dropDuplicates(["doc_id", "text_key"])
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for chunk in chunks(batch.column(0)):
@@ -266,29 +276,31 @@ def near_duplicates(
     component_id is the least doc_id that can be reached over links; ``first`` is the least
     (doc_id, text_key) of the component, nulls last, by which one row can be kept.
     """
-    signed = freeze(signatures(docs, size, text, doc_id))
-    classes = freeze(signed.where("class is not null").groupBy("class").agg(
-        F.min("text_key").alias("text_key"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
-        F.first("bits").alias("bits")))
-    pairs = freeze(_pivot_pairs(classes))
-    used = pairs.select("class").union(pairs.select("pivot")).distinct()
-    sets = freeze(class_sets(docs, classes.join(used, "class", "left_semi"), size, text))
-    links = freeze(_confirmed(pairs, classes, sets, percent))
-    roots = components(links)
-    more = freeze(_remaining_links(pairs, roots, classes, sets, percent))
-    if more.head(1):
-        roots = components(links.unionByName(more))
-    # Only linked classes have roots; the others are components of their own.
-    rooted = signed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "group", F.coalesce("root", "class"))
-    # The order (doc_id, text_key) with null ids last.
-    place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))
-    least = freeze(rooted.where("group is not null").groupBy("group").agg(F.min(place).alias("least")))
-    return rooted.join(least, "group", "left").select(
-        "doc_id", "text_key", "n_shingles",
-        F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
-        F.when(F.col("group").isNull(), place).otherwise(F.col("least")).alias("first"),
-        F.col("group").isNull().alias("alone"))
+    with scratch(docs.sparkSession):
+        signed = freeze(signatures(docs, size, text, doc_id))
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key"))
+        classes = freeze(signed.where("class is not null").groupBy("class").agg(
+            first.alias("row"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
+            F.first("bits").alias("bits")).select("class", "row.doc_id", "row.text_key", "n_shingles", "bands", "bits"))
+        pairs = freeze(_pivot_pairs(classes))
+        used = pairs.select("class").union(pairs.select("pivot")).distinct()
+        sets = freeze(class_sets(docs, classes.join(used, "class", "left_semi"), size, text, doc_id))
+        links = freeze(_confirmed(pairs, classes, sets, percent))
+        roots = components(links)
+        more = freeze(_remaining_links(pairs, roots, classes, sets, percent))
+        if more.head(1):
+            roots = components(links.unionByName(more))
+        # Only linked classes have roots; the others are components of their own.
+        rooted = signed.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
+            "group", F.coalesce("root", "class"))
+        # The order (doc_id, text_key) with null ids last.
+        place = F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id"), F.col("text_key"))
+        least = freeze(rooted.where("group is not null").groupBy("group").agg(F.min(place).alias("least")))
+        return freeze(rooted.join(least, "group", "left").select(
+            "doc_id", "text_key", "n_shingles",
+            F.when(F.col("group").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+            F.when(F.col("group").isNull(), place).otherwise(F.col("least")).alias("first"),
+            F.col("group").isNull().alias("alone")), keep=True)
 
 
 def kept(found: DataFrame) -> Column:
@@ -303,14 +315,14 @@ def deduplicate(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     are dealt out anew only if there are rows with equal ids and texts.
     """
     found = near_duplicates(docs, text=text, doc_id=doc_id, **options)
-    found = freeze(found)
     key, own, mine = unused(docs, "text_key"), unused(docs, "id"), unused(docs, "digest")
     gone = found.where(~F.col("alone") & ~(
         F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_key") == F.col("first.text_key")))).select(
         F.col("doc_id").alias(own), F.col("text_key").alias(key)).distinct()
     gone = freeze(gone)
     keyed = docs.withColumn(mine, F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
-    left = keyed.join(gone, keyed[doc_id].eqNullSafe(gone[own]) & (keyed[mine] == gone[key]), "left_anti")
+    # What goes grows with the table, so texts always go to it by a shuffle.
+    left = keyed.join(gone.hint("merge"), keyed[doc_id].eqNullSafe(gone[own]) & (keyed[mine] == gone[key]), "left_anti")
     if found.groupBy("doc_id", "text_key").count().where("count > 1").head(1):
         left = left.dropDuplicates([doc_id, mine])
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])

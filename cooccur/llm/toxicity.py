@@ -32,8 +32,9 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cooccur.llm.frames import arrow_rows, freeze, learnable, text_digest, without_texts
+from cooccur.llm.frames import arrow_rows, freeze, learnable, text_digest
 from cooccur.llm.text import chunks
+from cooccur.session import scratch
 
 #: Labelled rows that stems are mined from, and texts that the classifier is fitted to, at most (about).
 SAMPLE = 12_000
@@ -295,6 +296,12 @@ def scored(docs: DataFrame, labels: DataFrame, *, keep: tuple[str, ...] = ("doc_
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, *, threshold: float = 0.5, text: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; all columns stay."""
-    bad = scored(docs, labels, keep=(), text=text, **options).where(F.col("score") >= threshold).select("text_key").distinct()
-    return without_texts(docs, bad, text)
+    """``docs`` without the rows that score ``threshold`` or more; all columns stay.
+
+    A score is a function of the text alone, so it is found again in the pass that filters: texts
+    are neither written nor shuffled.
+    """
+    with scratch(docs.sparkSession):
+        scorer, _ = fit(docs, labels, text=text, **options)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{text}`").alias("text"))
+    return votes(rows, scorer.voters, ("row",)).where(scorer.score() < threshold).select("row.*")

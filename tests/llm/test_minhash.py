@@ -2,6 +2,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cooccur.llm import minhash
 from cooccur.llm.components import components
@@ -78,3 +79,16 @@ def test_components_of_long_chains(spark):
     for part in (nodes[:100], nodes[100:200], nodes[200:]):
         assert {found[n] for n in part} == {min(part)}
     assert found["x"] == found["y"] == "x" and "z" not in found
+
+
+def test_copies_of_one_text_do_not_meet_in_one_task(spark):
+    """A third of the rows are one text; the rows that sets are made from are one for each text."""
+    rows = [(i, words(40, 1), "en", "s", 0) for i in range(300)] + [(1000 + i, words(40, i // 2 + 2) + f" tail{i}", "en", "s", 0) for i in range(600)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    signed = minhash.signatures(docs, 5).cache()
+    first = signed.groupBy("class").agg(F.min(F.struct("doc_id", "text_key")).alias("r")).select("class", "r.*")
+    sets = minhash.class_sets(docs, first, 5)
+    assert sets.count() == sets.select("class").distinct().count() == signed.select("class").distinct().count()
+    found = minhash.near_duplicates(docs, size=5, percent=80)
+    assert found.where("component_id = 0").count() == 300
+    assert {r["n"] for r in found.where("doc_id >= 1000").groupBy("component_id").agg(F.count("*").alias("n")).collect()} == {2}
