@@ -3,8 +3,9 @@
 The work is one equi-join on ``user`` and one aggregation by item pair. What keeps
 it bounded:
 
-* :func:`tile_users` cuts the work of heavy users into tiles of equal size which land
-  on different tasks, and no pair is lost;
+* users with more rows than a tile are joined apart from the others (:func:`user_pairs`): their
+  work is cut into tiles of equal size, the tiles are the partitioning, so they land on different
+  tasks whatever kind of join is chosen, and no pair is lost;
 * a caller may cap a user's items beforehand by :func:`prepare.downsample`, so that a
   user yields at most cap x cap pairs;
 * item counts travel with the rows into the join, so the pair table - by far the
@@ -14,6 +15,7 @@ it bounded:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -25,32 +27,58 @@ from cooccur.operators.numbering import number_rows
 from cooccur.operators.prepare import downsample, per_event, restrict_to_primary_users
 from cooccur.session import allow_group_limit, freeze
 
-TILE = 1024
+TILE = 512
 PAIRS_PER_PARTITION = 4_000_000
+#: Pairs of heavy users that a task makes, about: a few tiles.
+HEAVY_PAIRS_PER_PARTITION = 4 * TILE * TILE
 
 
-def tile_users(left: DataFrame, right: DataFrame, tile: int = TILE):
+class PairWork(NamedTuple):
+    """Users of the left side, and the pairs that light and heavy users make."""
+
+    users: int
+    light: int
+    heavy: int
+
+
+def user_sizes(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(user, l, r): the rows of each user on both sides."""
+    own, other = F.lit(1).cast("long"), F.lit(0).cast("long")
+    both = left.select("user", own.alias("l"), other.alias("r")).unionByName(
+        right.select("user", other.alias("l"), own.alias("r")))
+    return both.groupBy("user").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
+
+
+def _is_heavy(tile: int) -> Column:
+    return (F.col("l") > 0) & (F.col("r") > 0) & (F.greatest("l", "r") > tile)
+
+
+def pair_work(sizes: DataFrame, tile: int) -> PairWork:
+    """One row of sums: neither input sizes nor what adaptive execution makes of them tell the pairs of a join."""
+    pairs = F.col("l") * F.col("r")
+    found = sizes.agg(
+        F.count_if(F.col("l") > 0), F.sum(F.when(_is_heavy(tile), 0).otherwise(pairs)), F.sum(F.when(_is_heavy(tile), pairs))).first()
+    return PairWork(found[0], found[1] or 0, found[2] or 0)
+
+
+def tile_users(left: DataFrame, right: DataFrame, tile: int = TILE, sizes: DataFrame | None = None):
     """Give both sides of a join on ``user`` the extra keys ``_l`` and ``_r``.
 
     A user with at most ``tile`` rows on both sides keeps one tile. A heavier one is
     cut into ceil(n_left/tile) x ceil(n_right/tile) tiles: each left row is copied
     along the right tiles and vice versa, so every pair meets in exactly one tile.
+    Users without a row in ``sizes`` (:func:`user_sizes`) are left out.
     """
-    sizes = (
-        left.groupBy("user").agg(F.count("*").alias("_nl"))
-        .join(right.groupBy("user").agg(F.count("*").alias("_nr")), "user")
-        .select(
-            "user",
-            F.ceil(F.col("_nl") / tile).cast("int").alias("_tl"),
-            F.ceil(F.col("_nr") / tile).cast("int").alias("_tr"),
-        )
-    )
+    sizes = user_sizes(left, right) if sizes is None else sizes
+    tiles = sizes.where("l > 0 and r > 0").select(
+        "user", F.ceil(F.col("l") / tile).cast("int").alias("_tl"), F.ceil(F.col("r") / tile).cast("int").alias("_tr"))
 
     def spread(side: DataFrame, own: str, own_tiles: str, other: str, other_tiles: str):
         columns = [c for c in side.columns]
+        item = "item" if "item" in columns else "correlator"
         return (
-            side.join(sizes, "user")
-            .withColumn(own, F.pmod(F.xxhash64("item"), F.col(own_tiles)).cast("int"))
+            side.join(tiles, "user")
+            .withColumn(own, F.pmod(F.xxhash64(item), F.col(own_tiles)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_tiles) - 1)))
             .select(*columns, "_l", "_r")
         )
@@ -58,13 +86,39 @@ def tile_users(left: DataFrame, right: DataFrame, tile: int = TILE):
     return spread(left, "_l", "_tl", "_r", "_tr"), spread(right, "_r", "_tr", "_l", "_tl")
 
 
-def _pairs(left: DataFrame, right: DataFrame, cap: int | None, tile: int) -> DataFrame:
-    keys = ["user"]
-    if cap is None or cap > tile:
-        left, right = tile_users(left, right, tile)
+def _parallel(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def user_pairs(left: DataFrame, right: DataFrame, tile: int, sizes: DataFrame, work: PairWork) -> DataFrame:
+    """Every row of ``left`` with every row of ``right`` of the same user, without the user.
+
+    The number of partitions follows the pairs. Heavy users' rows are copied where they are
+    read and dealt out by user and both tile numbers; these partitions are given by number, so
+    adaptive execution doesn't merge them, and the rows of both sides lie by tile, so a join that
+    broadcasts one side does not bring a user's pairs back together.
+    """
+    light_left, light_right = left, right
+    heavy_pairs = None
+    if work.heavy:
+        # At most (rows / tile) users.
+        heavy = freeze(sizes.where(_is_heavy(tile)))
+        light_left, light_right = (side.join(heavy.select("user"), "user", "left_anti") for side in (left, right))
         keys = ["user", "_l", "_r"]
+        partitions = max(4 * _parallel(left), -(-work.heavy // HEAVY_PAIRS_PER_PARTITION))
+        dealt = [side.repartition(partitions, *keys) for side in tile_users(left, right, tile, heavy)]
+        heavy_pairs = dealt[0].join(dealt[1].hint("merge"), keys).drop(*keys)
+    partitions = max(_parallel(left), -(-work.light // PAIRS_PER_PARTITION))
+    light_pairs = light_left.repartition(partitions, "user").join(light_right.repartition(partitions, "user"), "user").drop("user")
+    return light_pairs if heavy_pairs is None else light_pairs.unionByName(heavy_pairs)
+
+
+def _pairs(left: DataFrame, right: DataFrame, cap: int | None, tile: int) -> DataFrame:
     right = right.withColumnRenamed("item", "correlator")
-    return left.join(right, keys).drop(*keys)
+    if cap is not None and cap <= tile:
+        return left.join(right, "user").drop("user")
+    sizes = user_sizes(left, right)
+    return user_pairs(left, right, tile, sizes, pair_work(sizes, tile))
 
 
 def cooccurrence(primary: DataFrame, cap: int | None = None, tile: int = TILE) -> DataFrame:
@@ -155,21 +209,6 @@ def correlator_lists(corr: DataFrame, actions: Sequence[str]) -> DataFrame:
     return corr.groupBy("item").agg(*[ranked(a) for a in actions])
 
 
-def _pair_work(counted: DataFrame) -> tuple[int, int]:
-    """How many primary users there are, and the partitions their pairs need.
-
-    The join on ``user`` multiplies its input by the items per user, so neither the
-    input size nor what adaptive execution makes of it says how much work a partition
-    becomes.
-    """
-    per_user = counted.groupBy("user").agg(
-        F.count_if(F.col("event") == 0).alias("l"), F.count("*").alias("r")
-    )
-    users, emitted = per_user.agg(F.count_if(F.col("l") > 0), F.sum(F.col("l") * F.col("r"))).first()
-    parallel = counted.sparkSession.sparkContext.defaultParallelism
-    return users, max(parallel, -(-(emitted or 0) // PAIRS_PER_PARTITION))
-
-
 def scored_numbers(
     actions: DataFrame,
     specs: Sequence[Indicator],
@@ -204,17 +243,17 @@ def scored_numbers(
             F.get("counts", F.col("event")).alias("n_users"),
         )
     )
-    n_users, partitions = _pair_work(counted)
-    spread = counted.repartition(partitions, "user")
-    left = spread.where("event = 0").select("user", "item", F.col("n_users").alias("ca"))
-    right = spread.where(F.col("event") >= int(secondary_only)).select("user", "event", "item", F.col("n_users").alias("cb"))
-    widest = None if None in caps.values() else max(caps.values())
+    left = counted.where("event = 0").select("user", "item", F.col("n_users").alias("ca"))
+    right = counted.where(F.col("event") >= int(secondary_only)).select(
+        "user", "event", F.col("item").alias("correlator"), F.col("n_users").alias("cb"))
+    sizes = user_sizes(left, right)
+    work = pair_work(sizes, tile)
     pairs = (
-        _pairs(left, right, widest, tile)
+        user_pairs(left, right, tile, sizes, work)
         .where("event <> 0 or item < correlator")
         .groupBy("event", "item", "correlator")
         .agg(F.count("*").alias("k11"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
-        .withColumn("llr", llr(F.col("k11"), F.col("ca"), F.col("cb"), F.lit(n_users)))
+        .withColumn("llr", llr(F.col("k11"), F.col("ca"), F.col("cb"), F.lit(work.users)))
     )
     return pairs, names
 

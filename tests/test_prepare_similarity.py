@@ -156,3 +156,25 @@ def test_downsample_leaves_uncapped_events_alone(spark):
     got = {r["event"]: r["count"] for r in prepare.downsample(actions, {"buy": 4, "view": None}, 1).groupBy("event").count().collect()}
     assert got == {"buy": 4, "view": 9}
     assert prepare.downsample(actions, None, 1).count() == 18
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_a_heavy_users_pairs_are_spread_over_tasks(spark, threshold):
+    """A user with 3,000 items of 200 small ones: no task makes more than a quarter of the pairs."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        heavy = spark.range(3000).select(F.lit("heavy").alias("user"), F.concat(F.lit("i"), "id").alias("item"))
+        small = spark.range(600).select(F.concat(F.lit("u"), F.col("id") % 200).alias("user"), F.concat(F.lit("i"), "id").alias("item"))
+        side = heavy.unionByName(small)
+        other = side.withColumnRenamed("item", "correlator")
+        sizes = similarity.user_sizes(side, other)
+        work = similarity.pair_work(sizes, similarity.TILE)
+        assert work == (201, 200 * 9, 3000 * 3000)
+        pairs = similarity.user_pairs(side, other, similarity.TILE, sizes, work)
+        tasks = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert sum(tasks) == 9_000_000 + 1800 and max(tasks) <= sum(tasks) / 4
+        sample = pairs.where("item in ('i0', 'i2999')")
+        assert sample.count() == sample.distinct().count() + 3  # i0 has three more pairs by a small user, all of them again
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
