@@ -5,8 +5,9 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from cooccur import EngineConfig, Field, Ranking
+from cooccur import EngineConfig, Field, Indicator, Ranking
 from cooccur.operators import matching
 from cooccur.operators.numbering import free_positions, number_rows, positions_within
 from cooccur.operators.ranking import serve_first
@@ -250,3 +251,58 @@ def test_far_dates_match_without_months_in_between(spark):
         "query_id", "struct(name, cast(before as timestamp_ntz) before, cast(after as timestamp_ntz) after) date_range")
     found = matching.must_date_range(ranges, matching.item_dates(model))
     assert {r["item"] for r in found.collect()} == {"a", "b", "c", "d"}
+
+
+@pytest.fixture(scope="module")
+def dated(spark):
+    """Items with repeated dates, dates a second apart, missing dates, and empty lives."""
+    return spark.range(2000).selectExpr(
+        "cast(id as string) id",
+        "if(id % 50 = 7, null, timestamp_ntz '2020-01-01' + make_dt_interval(cast(id % 300 as int), 0, 0, id % 3)) available",
+        "if(id % 40 = 3, null, timestamp_ntz '2020-01-01' + make_dt_interval(cast((id % 300) + (id % 7) * 20 as int))) expire")
+
+
+def test_moments_between_the_same_dates_are_one_filter(spark, dated):
+    cfg = EngineConfig("s", "items", "item", indicators=(Indicator("buy"),), available_date_name="available", expire_date_name="expire")
+    queries = spark.range(500).selectExpr(
+        "concat('q', id) query_id", "cast(null as array<struct<name: string, values: array<string>, bias: double>>) fields",
+        "timestamp_ntz '2020-03-01 06:00:00' + make_dt_interval(0, 0, 0, id) current_date",
+        "cast(null as struct<name: string, before: timestamp_ntz, after: timestamp_ntz>) date_range")
+    marked = matching.with_signature(queries, cfg, dated)
+    filters = matching.signatures(marked)
+    assert marked.count() == 500 and filters.count() == 1
+    found = matching.signature_matches(filters, dated, matching.postings(dated), cfg)
+    now = "timestamp_ntz '2020-03-01 06:00:00'"
+    want = {r["id"] for r in dated.where(f"available < {now} and expire > {now}").collect()}
+    assert {r["item"] for r in found.collect()} == want and found.count() == len(want) > 50
+
+
+def test_date_filters_equal_a_plain_comparison(spark, dated):
+    moments = spark.range(90).selectExpr("id query_id", "timestamp_ntz '2019-12-25' + make_dt_interval(cast(id * 5 as int), 0, 0, id % 2) current_date")
+    got = sorted((r["query_id"], r["item"]) for r in matching.must_available(moments, dated, "available", "expire").collect())
+    pairs = moments.join(dated, F.expr("available < current_date and current_date < expire"))
+    assert got == sorted((r["query_id"], r["id"]) for r in pairs.select("query_id", "id").collect()) and got
+    ranges = spark.range(80).selectExpr("id query_id", """named_struct('name', if(id % 9 = 0, 'absent', if(id % 2 = 0, 'available', 'expire')),
+        'before', if(id % 5 = 0, null, timestamp_ntz '2020-01-20' + make_dt_interval(cast(id * 3 as int))),
+        'after', if(id % 4 = 0, null, timestamp_ntz '2020-01-01' + make_dt_interval(cast(id * 2 as int)))) date_range""")
+    found = matching.must_date_range(ranges, matching.item_dates(dated))
+    at = "if(date_range.name = 'available', available, if(date_range.name = 'expire', expire, null))"
+    pairs = ranges.join(dated, F.expr(
+        f"{at} is not null and (date_range.after is null or {at} > date_range.after) and (date_range.before is null or {at} < date_range.before)"))
+    want = sorted((r["query_id"], r["id"]) for r in pairs.select("query_id", "id").collect())
+    assert sorted((r["query_id"], r["item"]) for r in found.collect()) == want and want
+
+
+def test_ranges_and_moments_keep_apart_what_dates_keep_apart(spark, dated):
+    """Signatures are equal if, and only if, their filters admit the same dates."""
+    cfg = EngineConfig("s", "items", "item", indicators=(Indicator("buy"),), available_date_name="available", expire_date_name="expire")
+    rows = [("a", "2020-02-01 00:00:00", None), ("b", "2020-02-01 00:00:01", None), ("c", "2020-02-01 12:00:00", None), ("d", "2020-02-01 13:00:00", None),
+            ("e", None, ("expire", "2020-02-01 00:00:00")), ("f", None, ("expire", "2020-02-01 09:00:00")), ("g", None, ("expire", "2020-02-01 10:00:00"))]
+    queries = spark.createDataFrame([(q, m, r) for q, m, r in rows], "query_id string, m string, r struct<name: string, after: string>").selectExpr(
+        "query_id", "cast(null as array<struct<name: string, values: array<string>, bias: double>>) fields",
+        "coalesce(cast(m as timestamp_ntz), timestamp_ntz '2020-05-05') current_date",
+        """if(r is null, null, named_struct('name', r.name, 'before', cast(null as timestamp_ntz), 'after', cast(r.after as timestamp_ntz))) date_range""")
+    marked = {r["query_id"]: r["sig"] for r in matching.with_signature(queries, cfg, dated).collect()}
+    # An item becomes available a second after midnight.
+    assert marked["a"] == marked["b"] and marked["c"] == marked["d"] and marked["e"] == marked["f"] == marked["g"]
+    assert len(set(marked.values())) == 3
