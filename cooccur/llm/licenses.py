@@ -5,19 +5,28 @@ A block of text that repeats a license needs few bytes if the license is known.
 template as a raw dictionary; templates are ranked by the bytes they save. The best ones, and those
 that save nearly as much, are then compared word by word with the region of the template around the
 longest run of words that both have. The one with the fewest differing words is the finding, if at least
-``CONFIRMED`` of the block's words stand in that region in the same order and no difference touches the
-name or the version of a license. The differences in wording are part of the result. Blocks near each
-other are one finding if they are one license with what lies between them.
+``CONFIRMED`` of the block's words stand in that region in the same order and no difference contradicts
+the name or the version of the license: its own name, as in a heading, may be added, other names not, and
+none may be missing or changed. The differences in wording are part of the result.
+
+Blocks near each other are looked at together. Stretches of them that follow a template (runs of
+``GRAM`` words in the template's order) are candidates from the longest on; each that is confirmed is a
+finding, with the headings and copyright lines next to it, and what lies around it is looked at on its
+own, so several licenses in a file, or one license twice, are several findings. Where nothing follows a
+template at length, the blocks are one finding if they are one license with what lies between them,
+and else each is looked at.
 
 A template is a license's notices and its whole text (of AGPL-3.0 and the CC BY licenses the notices only).
 
 Null and empty texts have no blocks. Repeated rows have equal findings. Ties go to the template
-with the smaller name. Long lines are cut into sentences first; all of them are looked at.
+with the smaller name. Long lines are cut into sentences first; all of them are looked at. In very long
+texts the stretches are found in one walk over the words, and only they are compared word by word.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from importlib.resources import files
@@ -39,6 +48,10 @@ CONFIRMED = 0.8
 LONG_LINE = 300
 #: Most characters between blocks that are first looked at as one.
 NEAR = 4000
+#: Words that a stretch shares with a template at a time, most words between two such places, fewest words of a stretch.
+GRAM, GAP, STRETCH = 6, 60, 24
+#: Most characters between a stretch and a heading or copyright line of it.
+BESIDE = 200
 
 #: Fixed texts: how the licenses are named in notices, and the licenses themselves if they are short.
 TEMPLATES = {
@@ -120,6 +133,8 @@ TEMPLATES = {
     "proprietary": """all rights reserved. no part of this work may be reproduced or distributed in any form without the prior
         written permission of the owner. copyright. unauthorized copying is prohibited. proprietary and confidential.""",
 }
+#: What the licenses are called, in their ids and their notices.
+NOTICES = dict(TEMPLATES)
 _DISCLAIMER = """this software is provided by the copyright holders and contributors "as is" and any express or implied warranties,
     including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed.
     in no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or
@@ -146,8 +161,12 @@ _SENTENCE = re.compile(r"(?<=[.!?;])\s+")
 
 
 class Template(NamedTuple):
+    """A license's words, its names and versions, where its runs of ``GRAM`` words stand, and a compressor that knows it."""
+
     name: str
     words: list[str]
+    names: frozenset[str]
+    places: dict[tuple[str, ...], list[int]]
     compressor: zstandard.ZstdCompressor
 
 
@@ -166,7 +185,12 @@ def _templates(texts: dict[str, str]) -> list[Template]:
     made = []
     for name in sorted(texts):
         words = _plain(texts[name])
-        made.append(Template(name, words, _compressor(" ".join(words).encode())))
+        notice = _plain(NOTICES[name]) if texts is TEMPLATES or texts.get(name) == TEMPLATES.get(name) else words
+        names = {*_named(notice, 0, len(notice)), name.lower(), *name.lower().split("-"), name.lower().partition("-")[2]}
+        places: dict[tuple[str, ...], list[int]] = {}
+        for i in range(len(words) - GRAM + 1):
+            places.setdefault(tuple(words[i: i + GRAM]), []).append(i)
+        made.append(Template(name, words, frozenset(names), places, _compressor(" ".join(words).encode())))
     return made
 
 
@@ -208,15 +232,16 @@ class Finding(NamedTuple):
     differences: list[str]
 
 
-def _names(words: list[str], low: int, high: int) -> bool:
-    """Whether a name or a version of a license is among ``words[low:high]``."""
-    return any(
-        words[i] in NAMES or _NUMBERED.fullmatch(words[i]) is not None or (i > 0 and words[i - 1] in VERSIONED and _VERSION.fullmatch(words[i]) is not None)
-        for i in range(low, high))
+def _named(words: list[str], low: int, high: int) -> list[str]:
+    """The names and versions of licenses among ``words[low:high]``."""
+    return [
+        words[i] for i in range(low, high)
+        if words[i] in NAMES or _NUMBERED.fullmatch(words[i]) is not None or (i > 0 and words[i - 1] in VERSIONED and _VERSION.fullmatch(words[i]) is not None)]
 
 
-def _wording(block: list[str], template: list[str]) -> tuple[int, list[str], bool]:
-    """(words of the block that stand in the template's best region in order, the differences, whether one touches a name)"""
+def _wording(block: list[str], license: Template) -> tuple[int, list[str], bool]:
+    """(words of the block that stand in the template's best region in order, the differences, whether one contradicts its name)"""
+    template = license.words
     anchor = SequenceMatcher(None, template, block, autojunk=False).find_longest_match()
     if not anchor.size:
         return 0, [f"+{w}" for w in block], True
@@ -226,14 +251,15 @@ def _wording(block: list[str], template: list[str]) -> tuple[int, list[str], boo
     matcher = SequenceMatcher(None, template, block, autojunk=False)
     matched = [m for m in matcher.get_matching_blocks() if m.size]
     first, last = matched[0].a, matched[-1].a + matched[-1].size
-    differences, named = [], False
+    differences, contradicted = [], False
     for kind, a0, a1, b0, b1 in matcher.get_opcodes():
         if kind != "equal":
             a0, a1 = max(a0, first), min(a1, last)
             differences += [f"-{w}" for w in template[a0:a1]]
             differences += [f"+{w}" for w in block[b0:b1]]
-            named = named or _names(template, a0, a1) or _names(block, b0, b1)
-    return sum(m.size for m in matched), differences, named
+            missing, added = _named(template, a0, a1), _named(block, b0, b1)
+            contradicted = contradicted or not license.names.issuperset(added) or not set(added).issuperset(missing)
+    return sum(m.size for m in matched), differences, contradicted
 
 
 def identify(block: str, templates: list[Template], alone: zstandard.ZstdCompressor) -> Finding | None:
@@ -247,29 +273,103 @@ def identify(block: str, templates: list[Template], alone: zstandard.ZstdCompres
     nearly = ranked[min(BEST, len(ranked)) - 1][0] + max(8, plain // 10)
     for size, name, template in ranked:
         if size <= nearly and plain - size >= SAVED * plain:
-            matched, differences, named = _wording(words, template.words)
-            if matched >= CONFIRMED * len(words) and not named:
+            matched, differences, contradicted = _wording(words, template)
+            if matched >= CONFIRMED * len(words) and not contradicted:
                 findings.append((len(differences), size, name, Finding(name, plain, size, matched, len(words), differences)))
     return min(findings)[3] if findings else None
 
 
+def stretches(words: list[str], template: Template) -> list[tuple[int, int]]:
+    """(first, end) of the stretches of words that follow the template: equal runs of words in its order, close to each other."""
+    found: list[list[int]] = []  # first, end, place in the template of the last run
+    for i in range(len(words) - GRAM + 1):
+        places = template.places.get(tuple(words[i: i + GRAM]))
+        if places is None:
+            continue
+        if found:
+            first, end, at = found[-1]
+            step = i - (end - GRAM)
+            near = min(places, key=lambda p: abs(p - at - step))
+            if step <= GAP + GRAM and at < near <= at + step + GAP:
+                found[-1][1:] = [i + GRAM, near]
+                continue
+        found.append([i, i + GRAM, places[0]])
+    return [(first, end) for first, end, _ in found if end - first >= STRETCH]
+
+
+def _long_findings(text: str, low: int, high: int, templates: list[Template], alone) -> list[tuple[int, int, Finding]]:
+    """Confirmed stretches of ``text[low:high]``, by place; each begins and ends with a line or sentence."""
+    found = [(m.start() + low, m.end() + low, m.group().lower()) for m in _WORD.finditer(text[low:high])]
+    words = [w for _, _, w in found]
+    candidates = sorted({s for t in templates for s in stretches(words, t)}, key=lambda s: (s[0] - s[1], s[0]))
+    if not candidates:
+        return []
+    cuts = [(start + low, end + low) for start, end in segments(text[low:high])]
+    starts, ends = [c[0] for c in cuts], [c[1] for c in cuts]
+    taken: list[tuple[int, int, Finding]] = []
+    tried: set[tuple[int, int]] = set()
+    for first, last in candidates:
+        start, end = starts[bisect_right(starts, found[first][0]) - 1], ends[bisect_left(ends, found[last - 1][1])]
+        # What a longer stretch has been confirmed for is cut away.
+        for a, b, _ in taken:
+            if a < end and start < b:
+                start, end = (b, end) if end - b > a - start else (start, a)
+        if end <= start or (start, end) in tried or len(_plain(text[start:end])) < STRETCH:
+            continue
+        tried.add((start, end))
+        finding = identify(text[start:end], templates, alone)
+        if finding:
+            taken.append((start, end, finding))
+    return sorted(taken, key=lambda f: f[:2])
+
+
 def confirmed(text: str, templates: list[Template], alone: zstandard.ZstdCompressor) -> Iterator[tuple[int, int, Finding]]:
-    """(start, end, finding) of a text: of blocks near each other together, or else of each."""
+    """(start, end, finding) of a text: long stretches first, of the other blocks near each other together, or else of each."""
     groups: list[list[tuple[int, int]]] = []
     for block in blocks(text):
         if groups and block[0] - groups[-1][-1][1] <= NEAR:
             groups[-1].append(block)
         else:
             groups.append([block])
-    for group in groups:
-        spans = [(group[0][0], group[-1][1])]
-        together = identify(text[spans[0][0]:spans[0][1]], templates, alone)
-        if together is None and len(group) > 1:
-            spans = group
-        for start, end in spans:
-            finding = together or (identify(text[start:end], templates, alone) if len(group) > 1 else None)
-            if finding:
-                yield start, end, finding
+    for n, group in enumerate(groups):
+        low, high = group[0][0], group[-1][1]
+        # A license may begin before and end after the lines with its words: at most where the next group does.
+        before = max(groups[n - 1][-1][1] if n else 0, low - NEAR)
+        after = min(groups[n + 1][0][0] if n + 1 < len(groups) else len(text), high + NEAR)
+        taken = _long_findings(text, before, after, templates, alone)
+        if not taken:
+            together = identify(text[low:high], templates, alone)
+            found = [(low, high, together)] if together else [
+                (start, end, identify(text[start:end], templates, alone)) for start, end in group] if len(group) > 1 else []
+            yield from (f for f in found if f[2])
+            continue
+        for start, end in _between(group, taken):
+            beside = [i for i, (a, b, _) in enumerate(taken) if -BESIDE <= a - end <= BESIDE or -BESIDE <= start - b <= BESIDE]
+            for i in beside:
+                a, b, own = taken[i]
+                joined = identify(text[min(a, start): max(b, end)], templates, alone)
+                if joined and joined.license == own.license:
+                    taken[i] = (min(a, start), max(b, end), joined)
+                    break
+            else:
+                finding = identify(text[start:end], templates, alone)
+                if finding:
+                    taken.append((start, end, finding))
+        yield from sorted(taken, key=lambda f: f[:2])
+
+
+def _between(group: list[tuple[int, int]], taken: list[tuple[int, int, Finding]]) -> list[tuple[int, int]]:
+    """What the blocks hold outside of the findings."""
+    rest = []
+    for start, end in group:
+        for a, b, _ in taken:
+            if a < end and start < b:
+                if start < a:
+                    rest.append((start, a))
+                start = b
+        if start < end:
+            rest.append((start, end))
+    return rest
 
 
 def _may_hold(text: Column) -> Column:

@@ -56,3 +56,61 @@ def test_versions_and_names_are_told_apart():
         assert found and found.license == name
     assert licenses.identify("Licensed under the Apache License, Version 1.1.", known, alone) is None
     assert licenses.identify(NOTICE.format(kind="", version="7", sign=":"), known, alone) is None
+
+
+def _whole():
+    texts = {n: files("cooccur.llm").joinpath("license_texts", f"{n}.txt").read_text("utf-8") for n in ("Apache-2.0", "GPL-2.0", "GPL-3.0")}
+    for n in ("MIT", "BSD-2-Clause", "BSD-3-Clause", "ISC"):
+        texts[n] = " ".join(licenses.TEMPLATES[n].split()).partition(" released under")[0]
+    return texts
+
+
+HEADINGS = {
+    "MIT": ["MIT License", "The MIT License (MIT)", ""], "BSD-3-Clause": ["BSD 3-Clause License", "The BSD License", ""],
+    "BSD-2-Clause": ["BSD 2-Clause License", ""], "ISC": ["ISC License", "The ISC License"]}
+
+
+def _found(text):
+    known, alone = licenses._templates(licenses.TEMPLATES), licenses._compressor(None)
+    return [(f.license, end - start) for start, end, f in licenses.confirmed(text, known, alone)]
+
+
+def test_headings_and_copyright_lines_belong_to_their_license():
+    whole = _whole()
+    for name, headings in HEADINGS.items():
+        for heading in headings:
+            body = whole[name]
+            for form in (body, textwrap.fill(body, 76), "\n\n".join(re.split(r"(?<=[.:]) (?=[a-z]{4})", body))):
+                file = f"{heading}\n\nCopyright (c) 2019 Some Body and others\n\n{form}\n" if heading else form
+                found = _found(file)
+                assert [n for n, _ in found] == [name], (name, heading, found)
+                assert found[0][1] >= 0.9 * len(file.strip()), (name, heading, found, len(file))
+
+
+def test_other_names_contradict():
+    body = _whole()["MIT"]
+    assert _found("Apache License\n\n" + body)[0][1] <= len(body) + 1
+    assert not _found("Licensed under the Apache License, Version 1.1.")
+
+
+def test_several_licenses_in_one_file():
+    whole = _whole()
+    for names in (("MIT", "BSD-2-Clause"), ("Apache-2.0", "MIT"), ("GPL-2.0", "GPL-3.0"), ("GPL-3.0", "GPL-3.0"), ("ISC", "MIT", "BSD-3-Clause")):
+        file = "\n\n".join(whole[n] for n in names)
+        found = _found(file)
+        long = [n for n, size in found if size >= 300]
+        assert long == list(names), (names, found)
+        assert sum(size for _, size in found) >= 0.9 * len(file), (names, found)
+
+
+def test_a_long_notice_file_takes_bounded_time():
+    import time
+
+    whole = _whole()
+    entry = "\n\n".join(f"Component {i}\nCopyright (c) 20{i % 90 + 10} Author {i}\n\n{whole[n]}" for i, n in enumerate(("MIT", "BSD-3-Clause", "ISC", "MIT")))
+    file = "\n\n".join(entry for _ in range(50))
+    assert len(file) > 200_000
+    began = time.time()
+    found = _found(file)
+    assert [n for n, size in found if size >= 300] == ["MIT", "BSD-3-Clause", "ISC", "MIT"] * 50
+    assert time.time() - began < 120
