@@ -89,7 +89,7 @@ def _own_shuffles_removed(spark: SparkSession) -> Iterator[None]:
 
 def _written(df: DataFrame, label: str = "table") -> str:
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return path
 
 
