@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -53,7 +54,13 @@ WORDS = alphabet(~_BREAK & ~np.isin(np.arange(256), list(GAPS)))
 
 
 def _payload(positions: np.ndarray, codes: np.ndarray) -> tuple[bytes, bytes]:
-    return np.diff(positions, prepend=-1).astype("<i4").tobytes(), codes.astype("<i4").tobytes()
+    """Steps between positions, and phrases, as compressed numbers."""
+    gaps = np.diff(positions, prepend=-1).astype("<i4").tobytes()
+    return zstandard.compress(gaps, 1), zstandard.compress(codes.astype("<i4").tobytes(), 1)
+
+
+def _numbers(packed: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(packed.as_buffer()), "<i4")
 
 
 def _block(number: int, parts: list[tuple], langs: pa.Array) -> pa.RecordBatch:
@@ -113,7 +120,7 @@ def occurrences(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> D
 
 
 def frequent(counted: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Where the phrases with at least ``least`` occurrences are: (block, code, keys, f, row, id).
+    """Where the phrases with at least ``least`` occurrences are: (block, code, id), and with row = id their (keys, f).
 
     Each block has one row for a phrase, so the rows of a phrase are at most as many as there are
     blocks. A phrase's id is the least number of its rows, given to them after they met; the result
@@ -121,7 +128,8 @@ def frequent(counted: DataFrame, keys: list[str], least: int) -> DataFrame:
     """
     of = W.partitionBy(*keys)
     kept = counted.withColumn("f", F.sum("n").over(of)).where(F.col("f") >= least).withColumn("row", F.monotonically_increasing_id() + 1)
-    return freeze(kept.withColumn("id", F.min("row").over(of)).select("block", "code", *keys, "f", "row", "id"))
+    once = [F.when(F.col("row") == F.col("id"), F.col(c)).alias(c) for c in (*keys, "f", "row")]
+    return freeze(kept.withColumn("id", F.min("row").over(of)).select("block", "code", *once, "id"))
 
 
 def extended(relation: DataFrame, places: DataFrame, last: bool) -> DataFrame:
@@ -139,8 +147,8 @@ def extended(relation: DataFrame, places: DataFrame, last: bool) -> DataFrame:
         if not blocks.num_rows or not found.num_rows:
             return empty
         number = blocks["block"][0].as_py()
-        codes = np.frombuffer(blocks["codes"][0].as_buffer(), "<i4")
-        positions = np.cumsum(np.frombuffer(blocks["gaps"][0].as_buffer(), "<i4").astype(np.int64))
+        codes = _numbers(blocks["codes"][0])
+        positions = np.cumsum(_numbers(blocks["gaps"][0]).astype(np.int64))
         ids = np.zeros(int(codes.max()) + 1, np.int64)
         ids[found["code"].to_numpy()] = found["id"].to_numpy()
         kept = np.flatnonzero(ids[codes] > 0)
