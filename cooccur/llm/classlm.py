@@ -8,13 +8,16 @@ the word in its class. Words and an end after each text are the tokens.
   distributed; only its most frequent words, at most
   ``HEAD``, go out to all tasks. Rarer words of a text
   meet their counts in a join.
-* Units. The ``CLUSTERED`` most frequent words are units of their own. Every other word belongs
-  to the unit of its ending, one of ``ENDINGS``; so every word has a unit, and pairs of units,
-  counted over the whole corpus, are a table of bounded size.
-* Classes. Exchange: units move, one at a time, to the class in which the likelihood of the
-  pairs is highest. Units are dealt to blocks; in a round the blocks of one half move their
-  units, each on its own copy of the class counts, and the round counts only if the likelihood
-  of all pairs rose.
+* Units. Every word counted ``MIN_COUNT`` times or more is a unit of its own, up to the ``HEAD``
+  words that go out to tasks; their number grows with the corpus until then. Rarer
+  and unseen words, which have no contexts to go by, belong to the unit of their ending, one of ``ENDINGS``.
+* Contexts. Pairs of units are counted over the whole corpus, are added up in each task, and stay a
+  distributed table without a shuffle. In each round tasks turn the pairs into
+  counts of the classes beside each unit, and these only are shuffled.
+* Classes. Exchange: a unit moves to the class in which the likelihood of the pairs is highest.
+  Their number is ``classes_for`` the units. Units are dealt to blocks of at most about ``BLOCK``; in a round the
+  blocks of one half move their units, each on its own copy of the class counts, frequent units
+  one at a time and rarer ones in growing steps. The round counts only if the likelihood of all pairs rose.
 * Smoothing. Words in their class: an added ``ALPHA`` for every word and one unseen word. Classes
   after classes: ``BETA`` counts dealt out by how frequent the classes are.
 
@@ -31,36 +34,36 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cooccur.llm.frames import arrow_rows, freeze, learnable
 from cooccur.llm.text import SPACED, U64, Chunk, Words, chunks, list_array, mixed, words_of
 
-HEAD = 1 << 17
-CLUSTERED = 1024
-ENDINGS = 256
-CLASSES = 64
-BLOCKS = 8
-ROUNDS = 8
+HEAD = 1 << 18
+MIN_COUNT = 2
+ENDINGS = 1024
+CLASSES = 256
+BLOCK = 4096
+STEP = 256
+PAIRS_HELD = 1 << 22
+ROUNDS = 10
 ALPHA = 0.1
 BETA = 50.0
 FOLDS = 10
 
-UNITS = CLUSTERED + ENDINGS + 1
-END = UNITS - 1
 _FOLD = np.arange(256, dtype=np.uint64)
 _FOLD[65:91] += U64(32)
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def ending_units(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The unit of each word's last three bytes."""
+    """The number of each word's last three bytes, below ``ENDINGS``."""
     code = np.zeros(len(start), np.uint64)
     for back in (1, 2, 3):
         at = end - back
         code = code * U64(257) + np.where(at >= start, _FOLD[raw[np.maximum(at, 0)]] + U64(1), U64(0))
-    return (mixed(code) % U64(ENDINGS)).astype(np.int64) + CLUSTERED
+    return (mixed(code) % U64(ENDINGS)).astype(np.int64)
 
 
 def _word(chunk: Chunk, start: int, end: int) -> str:
@@ -86,11 +89,17 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 class Head(NamedTuple):
-    """The most frequent words by hash, with their ranks and counts."""
+    """The most frequent words by hash, with their ranks and counts; the first ``owned`` ranks are units of their own."""
 
     hash: np.ndarray
     rank: np.ndarray
     n: np.ndarray
+    owned: int
+
+    @property
+    def units(self) -> int:
+        """All units: words, endings and, as the last one, the end of a text."""
+        return self.owned + ENDINGS + 1
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places in this table, -1 if a hash is not in it."""
@@ -120,127 +129,212 @@ def head_of(counts: DataFrame, size: int | None = None) -> Head:
         found.append(words_of(chunk, SPACED).hash)
     hashes = np.concatenate(found)
     order = np.argsort(hashes)
-    return Head(hashes[order], order, rows["n"].to_numpy(np.int64)[order])
+    n = rows["n"].to_numpy(np.int64)
+    return Head(hashes[order], order, n[order], int(np.count_nonzero(n >= MIN_COUNT)))
 
 
 def units_of(chunk: Chunk, words: Words, head: Head) -> np.ndarray:
     """The unit of each word of a chunk."""
     distinct, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
-    at = head.find(distinct)
-    rank = np.where(at >= 0, head.rank[at] if len(head.rank) else 0, HEAD)
-    own = np.where(rank < CLUSTERED, rank, ending_units(chunk.raw, words.start[first], words.end[first]))
-    return own[inverse]
+    return _own_units(chunk, words, first, head, head.find(distinct))[inverse]
+
 
+def _own_units(chunk: Chunk, words: Words, first: np.ndarray, head: Head, at: np.ndarray) -> np.ndarray:
+    """Units of the words that begin a chunk's distinct ones, which stand ``at`` places of the head."""
+    owned = head.owned
+    rank = np.where(at >= 0, head.rank[at] if len(head.rank) else 0, owned)
+    return np.where(rank < owned, rank, ending_units(chunk.raw, words.start[first], words.end[first]) + owned)
 
-def _with_ends(units: np.ndarray, first: np.ndarray) -> np.ndarray:
+
+def _with_ends(units: np.ndarray, first: np.ndarray, end: int) -> np.ndarray:
     """Units of several texts in a row, with an end before the first and after each."""
-    return np.insert(units, first, END)
+    return np.insert(units, first, end)
+
+
+def _added(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes in order and the sums of their counts."""
+    every, n = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, n = every[order], n[order]
+    starts = np.flatnonzero(np.diff(every, prepend=-1))
+    return every[starts], np.add.reduceat(n, starts) if len(starts) else n
 
 
 def unit_pairs(texts: DataFrame, head: Head) -> DataFrame:
-    """(u, v, n): how often unit v follows unit u. A task adds up its texts before it returns rows."""
+    """(u, v, n): how often unit v follows unit u, in parts: a task adds up to ``PAIRS_HELD`` pairs before it returns them."""
+    units = head.units
     shared = texts.sparkSession.sparkContext.broadcast(head)
 
+    def rows(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array((code // units).astype(np.int32)), pa.array((code % units).astype(np.int32)), pa.array(n)], ["u", "v", "n"])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(UNITS * UNITS, np.int64)
+        codes, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         for batch in batches:
             for chunk in chunks(batch.column(0)):
                 words = words_of(chunk, SPACED)
-                line = _with_ends(units_of(chunk, words, shared.value), words.first)
-                pair, n = np.unique(line[:-1] * UNITS + line[1:], return_counts=True)
-                total[pair] += n
-        pair = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((pair // UNITS).astype(np.int32)), pa.array((pair % UNITS).astype(np.int32)), pa.array(total[pair])], ["u", "v", "n"])
-
-    return texts.mapInArrow(task, "u int, v int, n long").groupBy("u", "v").agg(F.sum("n").alias("n"))
+                line = _with_ends(units_of(chunk, words, shared.value), words.first, units - 1)
+                code, n = np.unique(line[:-1] * units + line[1:], return_counts=True)
+                codes.append(code)
+                counts.append(n)
+                held += len(code)
+                if held > PAIRS_HELD:
+                    code, n = _added(codes, counts)
+                    if len(code) > PAIRS_HELD // 2:
+                        yield rows(code, n)
+                        code, n = code[:0], n[:0]
+                    codes, counts, held = [code], [n], len(code)
+        yield rows(*_added(codes, counts))
+
+    return texts.mapInArrow(task, "u int, v int, n long")
 
 
 # ---------------------------------------------------------------------------- exchange
 
+def classes_for(units: int) -> int:
+    """How many classes the units are put into: a quarter of the root of their number, from 8 to ``CLASSES``."""
+    return int(np.clip(np.sqrt(units) / 4, 8, CLASSES))
+
+
 def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1e-12))
 
 
+def _more(x: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """How much x log x grows when x grows."""
+    x = np.maximum(x, 0)
+    return _xlogx(x + by) - _xlogx(x)
+
+
 def likelihood(matrix: np.ndarray) -> float:
     """The part of the pairs' log likelihood that depends on the classes."""
     return float(_xlogx(matrix).sum() - _xlogx(matrix.sum(0)).sum() - _xlogx(matrix.sum(1)).sum())
 
 
-def best_class(matrix: np.ndarray, own: int, right: np.ndarray, left: np.ndarray, itself: float) -> tuple[int, np.ndarray]:
-    """The class in which a unit does best, and the class counts with the unit there.
+def gains(matrix: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray, itself: np.ndarray) -> np.ndarray:
+    """(units, classes): the likelihood that each unit brings to each class, the unit having left its ``own``.
 
-    ``right`` and ``left`` count the classes after and before the unit, without pairs of the
-    unit with itself, which ``itself`` counts. The last class holds the end only.
+    A row of ``right`` and ``left`` counts the classes after and before a unit, without pairs of the
+    unit with itself, which ``itself`` counts. Only classes that occur beside a unit are looked at.
+    """
+    unit = np.arange(len(own))
+    right_all, left_all = right.sum(1) + itself, left.sum(1) + itself
+    # Sums do not change by the other words' pairs with the unit, whichever class it is in.
+    after, before = (np.repeat(matrix.sum(side)[None], len(own), axis=0) for side in (1, 0))
+    after[unit, own] -= right_all
+    before[unit, own] -= left_all
+    gain = -_more(after, right_all[:, None]) - _more(before, left_all[:, None])
+    for side, other, counts in ((right, left, matrix.T), (left, right, matrix)):
+        u, c = np.nonzero(side)
+        if not len(u):
+            continue
+        n = side[u, c]
+        bare = counts[c]
+        at_home = np.flatnonzero(c == own[u])
+        bare[np.arange(len(u)), own[u]] -= n
+        bare[at_home] -= other[u[at_home]]
+        bare[at_home, own[u[at_home]]] -= itself[u[at_home]]
+        starts = np.flatnonzero(np.diff(u, prepend=-1))
+        gain[u[starts]] += np.add.reduceat(_more(bare, n[:, None]), starts, axis=0)
+    # The corner where both sides meet counts once, with all that falls there.
+    loop = np.repeat(np.diag(matrix)[None], len(own), axis=0)
+    loop[unit, own] -= right[unit, own] + left[unit, own] + itself
+    return gain - _more(loop, right) - _more(loop, left) + _more(loop, right + left + itself[:, None])
+
+
+def best_classes(
+    matrix: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray, itself: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The class in which each unit does best on its own, and the class counts with all of them there.
+
+    The last class holds the end only.
     """
-    bare = matrix.copy()
-    bare[own] -= right
-    bare[:, own] -= left
-    bare[own, own] -= itself
-    bare = np.maximum(bare, 0)
-    after, before = bare.sum(1), bare.sum(0)
-    gain = (_xlogx(bare + right) - _xlogx(bare)).sum(1) + (_xlogx(bare + left[:, None]) - _xlogx(bare)).sum(0)
-    loop = np.diag(bare)
-    # The corner where both meet counts once, with all that falls there.
-    gain -= _xlogx(loop + right) - _xlogx(loop)
-    gain -= _xlogx(loop + left) - _xlogx(loop)
-    gain += _xlogx(loop + right + left + itself) - _xlogx(loop)
-    gain -= _xlogx(after + right.sum() + itself) - _xlogx(after) + _xlogx(before + left.sum() + itself) - _xlogx(before)
-    best = int(np.argmax(gain[:-1]))
-    if gain[best] <= gain[own] + 1e-9:
-        best = own
-    bare[best] += right
-    bare[:, best] += left
-    bare[best, best] += itself
-    return best, bare
-
-
-def _class_matrix(pairs: DataFrame, class_of: Column) -> np.ndarray:
-    rows = pairs.groupBy(class_of[F.col("u")].alias("a"), class_of[F.col("v")].alias("b")).agg(F.sum("n").alias("n")).collect()
-    matrix = np.zeros((CLASSES + 1, CLASSES + 1))  # bounded by the number of classes
-    for row in rows:
-        matrix[row["a"], row["b"]] = row["n"]
-    return matrix
+    gain = gains(matrix, own, left, right, itself)
+    unit = np.arange(len(own))
+    best = gain[:, :-1].argmax(1)
+    best = np.where(gain[unit, best] <= gain[unit, own] + 1e-9, own, best)
+    found = matrix.copy()
+    for of, sign in ((own, -1), (best, 1)):
+        np.add.at(found, of, sign * right)
+        np.add.at(found.T, of, sign * left)
+        np.add.at(found, (of, of), sign * itself)
+    return best, np.maximum(found, 0)
+
+
+def _class_matrix(pairs: DataFrame, classes: np.ndarray) -> np.ndarray:
+    size = int(classes.max()) + 1
+    shared = pairs.sparkSession.sparkContext.broadcast(classes)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for batch in batches:
+            u, v, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            total += np.bincount(shared.value[u] * size + shared.value[v], n, size * size).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
+
+    matrix = np.zeros(size * size)
+    for row in pairs.mapInArrow(task, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():  # bounded by the number of classes
+        matrix[row["at"]] = row["n"]
+    shared.unpersist()
+    return matrix.reshape(size, size)
+
+
+def contexts(pairs: DataFrame, classes: np.ndarray, blocks: int, half: int) -> DataFrame:
+    """(unit, c, n) of the units in every second block, but the end.
+
+    From 0 on c is the class after the unit, from ``size`` on the class before it, 2 * ``size`` the unit itself.
+    """
+    end, size = len(classes) - 1, int(classes.max()) + 1
+    codes = 2 * size + 1
+    shared = pairs.sparkSession.sparkContext.broadcast(classes)
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        u, v, n = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
+        right = u * codes + np.where(u == v, 2 * size, shared.value[v])
+        left = v * codes + size + shared.value[u]
+        moving = [(unit != end) & (unit % blocks % 2 == half) for unit in (u, v)]
+        moving[1] &= u != v
+        code, total = _added([right[moving[0]], left[moving[1]]], [n[moving[0]], n[moving[1]]])
+        yield pa.RecordBatch.from_arrays([pa.array((code // codes).astype(np.int32)), pa.array((code % codes).astype(np.int32)), pa.array(total)], ["unit", "c", "n"])
+
+    return arrow_rows(pairs, work, "unit int, c int, n long").groupBy("unit", "c").agg(F.sum("n").alias("n"))
 
 
 def _mover(matrix: np.ndarray, classes: np.ndarray) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Moves the units of a block, given their contexts (unit, right, c, itself, n)."""
+    """Moves the units of a block, given their :func:`contexts`, frequent ones first."""
+    size = len(matrix)
 
     def moved(rows: pd.DataFrame) -> pd.DataFrame:
-        counts, out = matrix, []
-        for unit, own in rows.groupby("unit", sort=True):
-            sides = np.zeros((2, CLASSES + 1))
-            others = own[~own["itself"]]
-            np.add.at(sides, (others["right"].to_numpy(int), others["c"].to_numpy(int)), others["n"].to_numpy(float))
-            itself = float(own.loc[own["itself"] & own["right"], "n"].sum())
-            best, counts = best_class(counts, int(classes[unit]), sides[1], sides[0], itself)
-            out.append((int(unit), best))
-        return pd.DataFrame(out, columns=["unit", "class"])
+        units, at = np.unique(rows["unit"].to_numpy(), return_inverse=True)
+        beside = np.zeros((len(units), 2 * size + 1))
+        beside[at, rows["c"].to_numpy()] = rows["n"].to_numpy()
+        order = np.lexsort([units, -beside.sum(1)])
+        counts, best, done = matrix, classes[units], 0
+        while done < len(units):
+            now = order[done:done + min(STEP, 1 + done // 16)]
+            best[now], counts = best_classes(counts, best[now], beside[now, size:2 * size], beside[now, :size], beside[now, -1])
+            done += len(now)
+        return pd.DataFrame({"unit": units, "class": best})
 
     return moved
 
 
-def exchange(pairs: DataFrame, *, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each unit, class counts). Frequent units start in turn in the classes."""
-    classes = np.arange(UNITS) % CLASSES
-    classes[END] = CLASSES
-
-    def lookup(of: np.ndarray) -> Column:
-        return F.array(*[F.lit(int(c)) for c in of])
-
-    matrix = _class_matrix(pairs, lookup(classes))
+def exchange(pairs: DataFrame, units: int, *, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each unit, class counts). Frequent units start in turn in the classes; the end is the last unit."""
+    number = classes_for(units)
+    classes = np.arange(units) % number
+    classes[-1] = number
+    blocks = max(8, 2 * -(-units // (2 * BLOCK)))
+    matrix = _class_matrix(pairs, classes)
     for turn in range(rounds):
-        class_of = lookup(classes)
-        both = pairs.select(F.col("u").alias("unit"), F.lit(True).alias("right"), class_of[F.col("v")].alias("c"), (F.col("u") == F.col("v")).alias("itself"), "n").unionByName(
-            pairs.select(F.col("v").alias("unit"), F.lit(False).alias("right"), class_of[F.col("u")].alias("c"), (F.col("u") == F.col("v")).alias("itself"), "n"))
-        moving = both.where((F.col("unit") != END) & (F.col("unit") % BLOCKS % 2 == turn % 2))
-        context = moving.groupBy("unit", "right", "c", "itself").agg(F.sum("n").alias("n"))
-        moves = context.withColumn("block", F.col("unit") % BLOCKS).groupBy("block").applyInPandas(
+        moves = contexts(pairs, classes, blocks, turn % 2).withColumn("block", F.col("unit") % blocks).groupBy("block").applyInPandas(
             _mover(matrix, classes), "unit int, class int")
         tried = classes.copy()
-        for row in moves.collect():  # a row per unit
-            tried[row["unit"]] = row["class"]
-        found = _class_matrix(pairs, lookup(tried))
+        rows = moves.toPandas()  # a row per unit, at most HEAD + ENDINGS
+        tried[rows["unit"].to_numpy()] = rows["class"].to_numpy()
+        found = _class_matrix(pairs, tried)
         if likelihood(found) <= likelihood(matrix) + 1e-6 and turn % 2:
             break
         if likelihood(found) > likelihood(matrix):
@@ -262,36 +356,41 @@ class Model(NamedTuple):
     ends: int
 
 
-def units_of_words(counts: DataFrame, head: Head) -> DataFrame:
-    """(word, n, unit) of the table of counts."""
-    shared = counts.sparkSession.sparkContext.broadcast(head)
+def class_sizes(counts: DataFrame, head: Head, classes: np.ndarray) -> np.ndarray:
+    """Occurrences and number of the words of each class, from the table of counts."""
+    size = int(classes.max()) + 1
+    shared = counts.sparkSession.sparkContext.broadcast((head, classes))
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        own, classes = shared.value
         units = [np.zeros(0, np.int64)]
         for chunk in chunks(batch.column(0)):
-            units.append(units_of(chunk, words_of(chunk, SPACED), shared.value))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(units).astype(np.int32))], ["word", "n", "unit"])
+            units.append(units_of(chunk, words_of(chunk, SPACED), own))
+        of = classes[np.concatenate(units)]
+        n = np.bincount(of, batch.column(1).to_numpy(), size).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(n), pa.array(np.bincount(of, minlength=size))], ["class", "n", "v"])
 
-    return arrow_rows(counts.select("word", "n"), work, "word string, n long, unit int")
+    sizes = np.zeros((2, size))
+    rows = arrow_rows(counts.select("word", "n"), work, "class long, n long, v long")
+    for row in rows.groupBy("class").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
+        sizes[:, row["class"]] = row["n"], row["v"]
+    return sizes
 
 
 def fit(texts: DataFrame, *, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
-    """(model, counts of words with their units) from a column of texts."""
+    """(model, counts of words) from a column of texts."""
     counts = freeze(word_counts(texts))
     head = head_of(counts)
-    vocabulary = freeze(units_of_words(counts, head))
     pairs = freeze(unit_pairs(texts, head))
-    classes, matrix = exchange(pairs, rounds=rounds)
-    sizes = np.zeros((2, CLASSES + 1))
-    for row in vocabulary.groupBy("unit").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():  # a row per unit
-        sizes[:, classes[row["unit"]]] += row["n"], row["v"]
-    ends = int(matrix[:, CLASSES].sum())
-    share = (matrix.sum(0) + 1) / (matrix.sum() + CLASSES + 1)
+    classes, matrix = exchange(pairs, head.units, rounds=rounds)
+    sizes = class_sizes(counts, head, classes)
+    ends = int(matrix[:, -1].sum())
+    share = (matrix.sum(0) + 1) / (matrix.sum() + len(matrix))
     transition = np.log10((matrix + BETA * share) / (matrix.sum(1, keepdims=True) + BETA))
     # log10 of what a class's words divide their counts by; the end is sure in its class.
     emission = np.log10(sizes[0] + ALPHA * (sizes[1] + 1))
-    emission[CLASSES] = 0.0
-    return Model(head, classes, transition, emission, int(sizes[0].sum()) + ends, int(sizes[1].sum()) + (ends > 0), ends), vocabulary
+    emission[-1] = 0.0
+    return Model(head, classes, transition, emission, int(sizes[0].sum()) + ends, int(sizes[1].sum()) + (ends > 0), ends), counts
 
 
 def scores(docs: DataFrame, model: Model, vocabulary: DataFrame, *, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -314,12 +413,11 @@ def scores(docs: DataFrame, model: Model, vocabulary: DataFrame, *, keep: tuple[
                 distinct, first, inverse = np.unique(words.hash, return_index=True, return_inverse=True)
                 at = own.head.find(distinct)
                 known = at >= 0
-                rank = np.where(known, own.head.rank[at] if len(at) and len(log_n) else 0, HEAD)
-                units = np.where(rank < CLUSTERED, rank, ending_units(chunk.raw, words.start[first], words.end[first]))[inverse]
+                units = _own_units(chunk, words, first, own.head, at)[inverse]
                 logs = np.where(known, log_n[at] if len(log_n) else 0.0, 0.0)[inverse]
                 spelled = {i: _word(chunk, int(words.start[first[i]]), int(words.end[first[i]])) for i in np.flatnonzero(~known).tolist()}
                 rare_at = np.flatnonzero(~known[inverse])
-                line = own.classes[_with_ends(units, words.first)]
+                line = own.classes[_with_ends(units, words.first, own.head.units - 1)]
                 steps = np.concatenate([[0.0], np.cumsum(own.transition[line[:-1], line[1:]])])
                 # In the line, text i runs from its words' place plus i, to its end.
                 low = words.first[:-1] + np.arange(len(words.first) - 1)
