@@ -42,6 +42,7 @@ from cooccur.llm.text import SPACED, U64, Chunk, Words, chunks, list_array, mixe
 
 HEAD = 1 << 18
 MIN_COUNT = 2
+COMMON = 8192
 ENDINGS = 1024
 CLASSES = 256
 BLOCK = 4096
@@ -321,12 +322,9 @@ def _mover(matrix: np.ndarray, classes: np.ndarray) -> Callable[[pd.DataFrame],
     return moved
 
 
-def exchange(pairs: DataFrame, units: int, *, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each unit, class counts). Frequent units start in turn in the classes; the end is the last unit."""
-    number = classes_for(units)
-    classes = np.arange(units) % number
-    classes[-1] = number
-    blocks = max(8, 2 * -(-units // (2 * BLOCK)))
+def _improved(pairs: DataFrame, classes: np.ndarray, moving: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(classes, class counts) after some rounds over pairs of about ``moving`` units."""
+    blocks = max(8, 2 * -(-moving // (2 * BLOCK)))
     matrix = _class_matrix(pairs, classes)
     for turn in range(rounds):
         moves = contexts(pairs, classes, blocks, turn % 2).withColumn("block", F.col("unit") % blocks).groupBy("block").applyInPandas(
@@ -342,6 +340,23 @@ def exchange(pairs: DataFrame, units: int, *, rounds: int = ROUNDS) -> tuple[np.
     return classes, matrix
 
 
+def exchange(pairs: DataFrame, owned: int, units: int, *, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each unit, class counts). Frequent units start in turn in the classes; the end is the last unit.
+
+    The ``COMMON`` most frequent words and the endings settle first, by their pairs with each other. Then
+    all units move, each half of the blocks once, by all pairs: a rare word has few contexts, mostly settled ones.
+    """
+    number = classes_for(units)
+    classes = np.arange(units) % number
+    classes[-1] = number
+    if owned <= COMMON:
+        return _improved(pairs, classes, units, rounds)
+    settled = [(F.col(c) < COMMON) | (F.col(c) >= owned) for c in ("u", "v")]
+    among = freeze(pairs.where(settled[0] & settled[1]).groupBy("u", "v").agg(F.sum("n").alias("n")))
+    classes, _ = _improved(among, classes, COMMON + units - owned, rounds)
+    return _improved(pairs, classes, units, min(rounds, 2))
+
+
 # ---------------------------------------------------------------------------- model and scores
 
 class Model(NamedTuple):
@@ -382,7 +397,7 @@ def fit(texts: DataFrame, *, rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     counts = freeze(word_counts(texts))
     head = head_of(counts)
     pairs = freeze(unit_pairs(texts, head))
-    classes, matrix = exchange(pairs, head.units, rounds=rounds)
+    classes, matrix = exchange(pairs, head.owned, head.units, rounds=rounds)
     sizes = class_sizes(counts, head, classes)
     ends = int(matrix[:, -1].sum())
     share = (matrix.sum(0) + 1) / (matrix.sum() + len(matrix))
