@@ -108,6 +108,20 @@ def test_contexts_equal_brute_force(spark):
     assert np.array_equal(classlm._class_matrix(rows, classes), counted(counts, classes, 4))
 
 
+def test_common_units_first(spark, monkeypatch):
+    monkeypatch.setattr(classlm, "COMMON", 8)
+    rng = np.random.default_rng(10)
+    units, owned = 40, 34
+    counts = rng.integers(0, 4, (units, units)) * (np.add.outer(np.arange(units), np.arange(units)) % 2)
+    u, v = np.nonzero(counts)
+    rows = spark.createDataFrame([(int(a), int(b), int(counts[a, b])) for a, b in zip(u, v)], "u int, v int, n long").repartition(2)
+    classes, matrix = classlm.exchange(rows, owned, units, rounds=2)
+    start = np.append(np.arange(units - 1) % 8, 8)
+    assert classes[-1] == 8 and classes[:-1].max() < 8
+    assert np.array_equal(matrix, counted(counts, classes, 9))
+    assert (classes[8:owned] != start[8:owned]).any() and (classes[:8] != start[:8]).any()
+
+
 def test_score_equals_brute_force(spark, odd_rows, odd, small):
     """The class model's probabilities, token by token from the fitted classes."""
     model, vocabulary = small.fit(odd.select("text"), rounds=2)
