@@ -12,12 +12,17 @@ level to level
 Every level's relation is a table in the shared folder, a row for a block: the positions and
 phrases of about ``BLOCK_WORDS`` words of whole texts, in order. Positions skip one number where
 a piece ends, so adjacent positions are of one piece and the merge join is a comparison of
-neighbours. A block numbers its phrases on its own; Spark counts (block, phrase) rows, of which
+neighbours. A block numbers its phrases on its own; what is counted are (block, phrase) rows, of which
 there is one per block however often the phrase occurs, and only the frequent ones come back to
 their blocks. So no task holds more than a block and its own phrases, nothing goes through the
 driver, and no phrase's occurrences meet in one task. Phrases are equal if their words are, without
 hashing, but for words inside one block, which are told apart by 64 bits.
 
+Most pairs of frequent words are rare, so there are far more (block, pair) rows than frequent ones.
+They are dealt to buckets by their pair, and a block's rows of one bucket are written and shuffled as one
+compressed column-wise value. There are as many buckets as blocks (``BUCKETS`` at least), so a
+bucket holds about as many pairs as a block.
+
 Words are split by spaces and tabs inside pieces, pieces by sentence marks and line ends; A-Z
 are lower-cased. Null and empty texts have no words; a null language is ``und``. Very long texts
 are a block of their own. Repeated rows count as often as they are there. Ties in rank go to the
@@ -48,6 +53,8 @@ GAPS = b" \t"
 SCALE = 2_000_000
 #: A block ends with the text that brings it to so many words.
 BLOCK_WORDS = 1 << 20
+#: Fewest buckets that the pairs of the blocks are dealt to.
+BUCKETS = 64
 
 _BREAK = np.isin(np.arange(256), list(BREAKS))
 WORDS = alphabet(~_BREAK & ~np.isin(np.arange(256), list(GAPS)))
@@ -63,6 +70,17 @@ def _numbers(packed: pa.Scalar) -> np.ndarray:
     return np.frombuffer(zstandard.decompress(packed.as_buffer()), "<i4")
 
 
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of numbers as one value: the first bytes of all numbers, the second ones, and so on, compressed."""
+    planes = np.stack(columns).astype("<i8").view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)
+    return zstandard.compress(planes.tobytes(), 1)
+
+
+def _unpacked(packed: pa.Scalar, columns: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed.as_buffer()), np.uint8).reshape(columns, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[..., 0]
+
+
 def _block(number: int, parts: list[tuple], langs: pa.Array) -> pa.RecordBatch:
     """A block's relation in the first row, then a row for each of its words with the block's number and count of it."""
     starts = np.cumsum([0, *(p[0][-1] + 2 for p in parts)])
@@ -119,29 +137,31 @@ def occurrences(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> D
     return rows.mapInArrow(task, "block long, code int, lang string, word string, n long, gaps binary, codes binary")
 
 
-def frequent(counted: DataFrame, keys: list[str], least: int) -> DataFrame:
-    """Where the phrases with at least ``least`` occurrences are: (block, code, id), and with row = id their (keys, f).
+def frequent(counted: DataFrame, least: int) -> DataFrame:
+    """Where the words with at least ``least`` occurrences are: (block, code, id), and with row = id their (lang, word, f).
 
-    Each block has one row for a phrase, so the rows of a phrase are at most as many as there are
-    blocks. A phrase's id is the least number of its rows, given to them after they met; the result
+    Each block has one row for a word, so the rows of a word are at most as many as there are
+    blocks. A word's id is the least number of its rows, given to them after they met; the result
     is written once, so ids stay what they are.
     """
-    of = W.partitionBy(*keys)
+    of = W.partitionBy("lang", "word")
     kept = counted.withColumn("f", F.sum("n").over(of)).where(F.col("f") >= least).withColumn("row", F.monotonically_increasing_id() + 1)
-    once = [F.when(F.col("row") == F.col("id"), F.col(c)).alias(c) for c in (*keys, "f", "row")]
+    once = [F.when(F.col("row") == F.col("id"), F.col(c)).alias(c) for c in ("lang", "word", "f", "row")]
     return freeze(kept.withColumn("id", F.min("row").over(of)).select("block", "code", *once, "id"))
 
 
-def extended(relation: DataFrame, places: DataFrame, last: bool) -> DataFrame:
-    """The relation of phrases one word longer: (block, gaps, codes) rows, and (block, code, head, tail, n) rows.
+def extended(relation: DataFrame, places: DataFrame, buckets: int, last: bool) -> DataFrame:
+    """The relation of phrases one word longer: (block, gaps, codes) rows, and (block, bucket, counts) rows.
 
-    ``places`` has the frequent phrases of the blocks; the others leave the relation here. The
-    ``last`` relation is not extended again and its occurrences are not kept.
+    ``places`` has the frequent phrases of the blocks, as (code, id) rows or in values; the others
+    leave the relation here. ``counts`` holds (code, head, tail, n) of the block's phrases of a bucket, codes
+    by their steps. The ``last`` relation is not extended again and its occurrences are not kept.
     """
-    schema = "block long, code int, head long, tail long, n long, gaps binary, codes binary"
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    names = ["block", "code", "head", "tail", "n", "gaps", "codes"]
+    schema = "block long, bucket int, gaps binary, codes binary, counts binary"
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    names = ["block", "bucket", "gaps", "codes", "counts"]
     empty = pa.table([pa.nulls(0, k) for k in kinds], names=names)
+    single = "code" in places.columns
 
     def work(blocks: pa.Table, found: pa.Table) -> pa.Table:
         if not blocks.num_rows or not found.num_rows:
@@ -150,27 +170,70 @@ def extended(relation: DataFrame, places: DataFrame, last: bool) -> DataFrame:
         codes = _numbers(blocks["codes"][0])
         positions = np.cumsum(_numbers(blocks["gaps"][0]).astype(np.int64))
         ids = np.zeros(int(codes.max()) + 1, np.int64)
-        ids[found["code"].to_numpy()] = found["id"].to_numpy()
+        if single:
+            ids[found["code"].to_numpy()] = found["id"].to_numpy()
+        else:
+            for value in found["places"]:
+                steps, of = _unpacked(value, 2)
+                ids[np.cumsum(steps)] = of
         kept = np.flatnonzero(ids[codes] > 0)
         positions, codes = positions[kept], codes[kept].astype(np.int64)
         pairs = np.flatnonzero(positions[1:] == positions[:-1] + 1)
         if not len(pairs):
             return empty
         longer, code, n = np.unique(codes[pairs] * len(ids) + codes[pairs + 1], return_inverse=True, return_counts=True)
+        head, tail = ids[longer // len(ids)], ids[longer % len(ids)]
+        bucket = (mixed(mixed(head.astype(np.uint64)) + tail.astype(np.uint64)) % U64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        counts = [_packed(np.diff(at, prepend=0), head[at], tail[at], n[at]) for at in np.split(order, starts[1:])]
         rows = pa.table([
-            pa.array(np.full(len(n), number)), pa.array(np.arange(len(n), dtype=np.int32)), pa.array(ids[longer // len(ids)]),
-            pa.array(ids[longer % len(ids)]), pa.array(n.astype(np.int64)), pa.nulls(len(n), pa.binary()), pa.nulls(len(n), pa.binary())],
-            names=names)
+            pa.array(np.full(len(counts), number)), pa.array(bucket[order][starts]), pa.nulls(len(counts), pa.binary()),
+            pa.nulls(len(counts), pa.binary()), pa.array(counts, pa.binary())], names=names)
         if last:
             return rows
-        gaps, packed = _payload(positions[pairs], code)
-        whole = [number, None, None, None, None, gaps, packed]
+        whole = [number, None, *_payload(positions[pairs], code), None]
         return pa.concat_tables([rows, pa.table([pa.array([x], k) for x, k in zip(whole, kinds)], names=names)])
 
-    blocks = relation.where("code is null").select("block", "gaps", "codes")
+    blocks = relation.where("gaps is not null").select("block", "gaps", "codes")
     return blocks.groupBy("block").cogroup(places.groupBy("block")).applyInArrow(work, schema)
 
 
+def frequent_pairs(counted: DataFrame, least: int) -> DataFrame:
+    """The phrases of :func:`extended` with at least ``least`` occurrences: (head, tail, f, id) rows, and (block, places) rows.
+
+    ``places`` holds (code, id) of a block's frequent phrases of a bucket, codes by their steps. All rows of
+    a phrase are in its bucket, which numbers its phrases.
+    """
+    names = ["head", "tail", "f", "id", "block", "places"]
+    kinds = [pa.int64()] * 5 + [pa.binary()]
+
+    def work(rows: pa.Table) -> pa.Table:
+        parts = [_unpacked(value, 4) for value in rows["counts"]]
+        head, tail, n = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
+        _, left = np.unique(head, return_inverse=True)
+        tails, right = np.unique(tail, return_inverse=True)
+        _, first, phrase = np.unique(left * len(tails) + right, return_index=True, return_inverse=True)
+        f = np.zeros(len(first), np.int64)
+        np.add.at(f, phrase, n)
+        often = f >= least
+        ids = np.where(often, np.cumsum(often) + (rows["bucket"][0].as_py() << 32), 0)
+        found, of = first[often], np.split(ids[phrase], np.cumsum([p.shape[1] for p in parts])[:-1])
+        blocks, places = [], []
+        for block, part, own in zip(rows["block"].to_pylist(), parts, of):
+            at = np.flatnonzero(own)
+            if len(at):
+                blocks.append(block)
+                places.append(_packed(np.diff(np.cumsum(part[0])[at], prepend=0), own[at]))
+        return pa.concat_tables([
+            pa.table([pa.array(x) for x in (head[found], tail[found], f[often], ids[often])]
+                     + [pa.nulls(len(found), k) for k in kinds[4:]], names=names),
+            pa.table([pa.nulls(len(blocks), k) for k in kinds[:4]] + [pa.array(blocks, pa.int64()), pa.array(places, pa.binary())], names=names)])
+
+    schema = "head long, tail long, f long, id long, block long, places binary"
+    return freeze(counted.groupBy("bucket").applyInArrow(work, schema))
+
+
 def mine(
     docs: DataFrame, *, longest: int = 4, least: int = 30, text: str = "text", lang: str = "lang",
 ) -> tuple[DataFrame, DataFrame]:
@@ -188,17 +251,19 @@ def mine(
         relation = freeze(occurrences(docs, text=text, lang=lang))
         counted = relation.where("code is not null")
         totals = freeze(counted.groupBy("lang").agg(F.sum("n").alias("n")), keep=True)
-        found = frequent(counted, ["lang", "word"], least)
+        found = frequent(counted, least)
+        buckets = max(BUCKETS, relation.where("gaps is not null").count())
         levels.append(freeze(found.where("row = id").select(
             F.lit(1).alias("size"), "id", "lang", F.array("word").alias("words"), "f", own.alias("begins"), own.alias("ends"),
             none.alias("head"), none.alias("tail")), keep=True))
         for size in range(2, longest + 1):
-            longer = freeze(extended(relation, found.select("block", "code", "id"), size == longest))
+            places = found.select("block", "code", "id") if size == 2 else found.where("places is not null").select("block", "places")
+            longer = freeze(extended(relation, places, buckets, size == longest))
             discard(relation, found)
-            relation, found = longer, frequent(longer.where("code is not null"), ["head", "tail"], least)
+            relation, found = longer, frequent_pairs(longer.where("bucket is not null").select("block", "bucket", "counts"), least)
             heads = levels[-1].select(F.col("id").alias("head"), "lang", "words", "begins")
             tails = levels[-1].select(F.col("id").alias("tail"), F.element_at("words", -1).alias("word"), "ends")
-            levels.append(freeze(found.where("row = id").join(heads, "head").join(tails, "tail").select(
+            levels.append(freeze(found.where("id is not null").join(heads, "head").join(tails, "tail").select(
                 F.lit(size).alias("size"), "id", "lang", F.array_append("words", F.col("word")).alias("words"), "f",
                 F.array_append("begins", F.col("f")).alias("begins"), F.array_append("ends", F.col("f")).alias("ends"), "head", "tail"),
                 keep=True))
