@@ -12,8 +12,9 @@ the word in its class. Words and an end after each text are the tokens.
   words that go out to tasks; their number grows with the corpus until then. Rarer
   and unseen words, which have no contexts to go by, belong to the unit of their ending, one of ``ENDINGS``.
 * Contexts. Pairs of units are counted over the whole corpus, are added up in each task, and stay a
-  distributed table without a shuffle. In each round tasks turn the pairs into
-  counts of the classes beside each unit, and these only are shuffled.
+  distributed table of compressed parts without a shuffle. In each round tasks turn the pairs into
+  counts of the classes beside each unit, and these only are shuffled, as a compressed value for each
+  block of units, which adds them up one after the other.
 * Classes. Exchange: a unit moves to the class in which the likelihood of the pairs is highest.
   Their number is ``classes_for`` the units. Units are dealt to blocks of at most about ``BLOCK``; in a round the
   blocks of one half move their units, each on its own copy of the class counts, frequent units
@@ -27,17 +28,17 @@ Repeated rows count as often as they occur. Without texts to learn from every to
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cooccur.llm.frames import arrow_rows, freeze, learnable
+from cooccur.llm.packing import packed, unpacked
 from cooccur.llm.text import SPACED, U64, Chunk, Words, chunks, list_array, mixed, words_of
 
 HEAD = 1 << 18
@@ -48,6 +49,7 @@ CLASSES = 256
 BLOCK = 4096
 STEP = 256
 PAIRS_HELD = 1 << 22
+PAIRS_PACKED = 1 << 20
 ROUNDS = 10
 ALPHA = 0.1
 BETA = 50.0
@@ -161,34 +163,73 @@ def _added(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return every[starts], np.add.reduceat(n, starts) if len(starts) else n
 
 
+def _parts(counted: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(codes, counts) added up and in the order of the codes, in parts of about ``PAIRS_HELD`` at most."""
+    codes, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    for code, n in counted:
+        codes.append(code)
+        counts.append(n)
+        held += len(code)
+        if held > PAIRS_HELD:
+            code, n = _added(codes, counts)
+            if len(code) > PAIRS_HELD // 2:
+                yield code, n
+                code, n = code[:0], n[:0]
+            codes, counts, held = [code], [n], len(code)
+    yield _added(codes, counts)
+
+
+def _pair_values(parts: Iterable[tuple[np.ndarray, np.ndarray]], units: int) -> Iterator[pa.RecordBatch]:
+    """Parts of pairs, coded u * units + v, as values of (steps of u, v, n)."""
+    for code, n in parts:
+        for at in range(0, len(code), PAIRS_PACKED):
+            now = slice(at, at + PAIRS_PACKED)
+            value = packed(np.diff(code[now] // units, prepend=0), code[now] % units, n[now])
+            yield pa.RecordBatch.from_arrays([pa.array([value], pa.binary())], ["pairs"])
+
+
+def _pairs_in(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(u, v, n) of a batch of values, or of a batch of single pairs."""
+    if batch.num_columns == 1:
+        for value in batch.column(0):
+            steps, v, n = unpacked(value, 3)
+            yield np.cumsum(steps), v, n
+    elif batch.num_rows:
+        u, v, n = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
+        yield u, v, n
+
+
 def unit_pairs(texts: DataFrame, head: Head) -> DataFrame:
-    """(u, v, n): how often unit v follows unit u, in parts: a task adds up to ``PAIRS_HELD`` pairs before it returns them."""
+    """How often unit v follows unit u, as values in parts: a task adds up to ``PAIRS_HELD`` pairs before it returns them."""
     units = head.units
     shared = texts.sparkSession.sparkContext.broadcast(head)
 
-    def rows(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array((code // units).astype(np.int32)), pa.array((code % units).astype(np.int32)), pa.array(n)], ["u", "v", "n"])
-
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, counts, held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        def counted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for chunk in chunks(batch.column(0)):
+                    words = words_of(chunk, SPACED)
+                    line = _with_ends(units_of(chunk, words, shared.value), words.first, units - 1)
+                    yield np.unique(line[:-1] * units + line[1:], return_counts=True)
+
+        yield from _pair_values(_parts(counted()), units)
+
+    return texts.mapInArrow(task, "pairs binary")
+
+
+def pairs_among(pairs: DataFrame, owned: int, units: int) -> DataFrame:
+    """The pairs of the ``COMMON`` most frequent words and the endings with each other, each added up over the corpus."""
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(0)):
-                words = words_of(chunk, SPACED)
-                line = _with_ends(units_of(chunk, words, shared.value), words.first, units - 1)
-                code, n = np.unique(line[:-1] * units + line[1:], return_counts=True)
-                codes.append(code)
-                counts.append(n)
-                held += len(code)
-                if held > PAIRS_HELD:
-                    code, n = _added(codes, counts)
-                    if len(code) > PAIRS_HELD // 2:
-                        yield rows(code, n)
-                        code, n = code[:0], n[:0]
-                    codes, counts, held = [code], [n], len(code)
-        yield rows(*_added(codes, counts))
-
-    return texts.mapInArrow(task, "u int, v int, n long")
+            for u, v, n in _pairs_in(batch):
+                at = np.flatnonzero(((u < COMMON) | (u >= owned)) & ((v < COMMON) | (v >= owned)))
+                yield pa.RecordBatch.from_arrays([pa.array(u[at] * units + v[at]), pa.array(n[at])], ["code", "n"])
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _pair_values(_parts(tuple(c.to_numpy() for c in batch.columns) for batch in batches), units)
+
+    added = pairs.mapInArrow(some, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return added.mapInArrow(task, "pairs binary")
 
 
 # ---------------------------------------------------------------------------- exchange
@@ -220,28 +261,36 @@ def gains(matrix: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarr
     unit with itself, which ``itself`` counts. Only classes that occur beside a unit are looked at.
     """
     unit = np.arange(len(own))
-    right_all, left_all = right.sum(1) + itself, left.sum(1) + itself
+    gain = np.zeros((len(own), len(matrix)))
     # Sums do not change by the other words' pairs with the unit, whichever class it is in.
-    after, before = (np.repeat(matrix.sum(side)[None], len(own), axis=0) for side in (1, 0))
-    after[unit, own] -= right_all
-    before[unit, own] -= left_all
-    gain = -_more(after, right_all[:, None]) - _more(before, left_all[:, None])
+    for total, n in ((matrix.sum(1), right.sum(1) + itself), (matrix.sum(0), left.sum(1) + itself)):
+        gain -= _xlogx(total + n[:, None]) - _xlogx(total)
+        at_home = total[own]
+        gain[unit, own] += _more(at_home, n) - _more(at_home - n, n)
     for side, other, counts in ((right, left, matrix.T), (left, right, matrix)):
         u, c = np.nonzero(side)
         if not len(u):
             continue
         n = side[u, c]
-        bare = counts[c]
+        grown = counts[c]
+        grown += n[:, None]
+        grown *= np.log(grown)
+        grown -= _xlogx(counts)[c]
+        # Without the unit itself its own class counts less: in one column, and in the row of that class.
+        grown[np.arange(len(u)), own[u]] = _more(counts[c, own[u]] - n, n)
         at_home = np.flatnonzero(c == own[u])
-        bare[np.arange(len(u)), own[u]] -= n
-        bare[at_home] -= other[u[at_home]]
-        bare[at_home, own[u[at_home]]] -= itself[u[at_home]]
+        home = u[at_home]
+        bare = counts[own[home]] - other[home]
+        bare[np.arange(len(home)), own[home]] -= n[at_home] + itself[home]
+        grown[at_home] = _more(bare, n[at_home, None])
         starts = np.flatnonzero(np.diff(u, prepend=-1))
-        gain[u[starts]] += np.add.reduceat(_more(bare, n[:, None]), starts, axis=0)
+        gain[u[starts]] += np.add.reduceat(grown, starts, axis=0)
     # The corner where both sides meet counts once, with all that falls there.
-    loop = np.repeat(np.diag(matrix)[None], len(own), axis=0)
-    loop[unit, own] -= right[unit, own] + left[unit, own] + itself
-    return gain - _more(loop, right) - _more(loop, left) + _more(loop, right + left + itself[:, None])
+    u, c = np.nonzero(right + left + itself[:, None])
+    r, l, i = right[u, c], left[u, c], itself[u]
+    loop = matrix[c, c] - np.where(c == own[u], r + l + i, 0)
+    gain[u, c] += _more(loop, r + l + i) - _more(loop, r) - _more(loop, l)
+    return gain
 
 
 def best_classes(
@@ -270,8 +319,8 @@ def _class_matrix(pairs: DataFrame, classes: np.ndarray) -> np.ndarray:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size * size, np.int64)
         for batch in batches:
-            u, v, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-            total += np.bincount(shared.value[u] * size + shared.value[v], n, size * size).astype(np.int64)
+            for u, v, n in _pairs_in(batch):
+                total += np.bincount(shared.value[u] * size + shared.value[v], n, size * size).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["at", "n"])
 
@@ -282,42 +331,71 @@ def _class_matrix(pairs: DataFrame, classes: np.ndarray) -> np.ndarray:
     return matrix.reshape(size, size)
 
 
-def contexts(pairs: DataFrame, classes: np.ndarray, blocks: int, half: int) -> DataFrame:
-    """(unit, c, n) of the units in every second block, but the end.
+def packed_contexts(pairs: DataFrame, classes: np.ndarray, blocks: int, half: int) -> DataFrame:
+    """(block, counts): the contexts of the units in every second block, but the end, in parts of a task each.
 
-    From 0 on c is the class after the unit, from ``size`` on the class before it, 2 * ``size`` the unit itself.
+    Unit i is number i // ``blocks`` of block i % ``blocks``. A value has (steps of codes, n); a code is the number
+    of the unit, times 2 * ``size`` + 1, and c: from 0 on the class after the unit, from ``size`` on the class before it,
+    2 * ``size`` the unit itself.
     """
     end, size = len(classes) - 1, int(classes.max()) + 1
     codes = 2 * size + 1
+    width = (len(classes) // blocks + 1) * codes
     shared = pairs.sparkSession.sparkContext.broadcast(classes)
 
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for u, v, n in _pairs_in(batch):
+                    for unit, c, more in (
+                        (u, np.where(u == v, 2 * size, shared.value[v]), True), (v, size + shared.value[u], u != v)):
+                        at = np.flatnonzero((unit != end) & (unit % blocks % 2 == half) & more)
+                        yield unit[at] % blocks * width + unit[at] // blocks * codes + c[at], n[at]
+
+        for code, n in _parts(counted()):
+            block = code // width
+            starts = np.flatnonzero(np.diff(block, prepend=-1))
+            values = [packed(np.diff(code[at] % width, prepend=0), n[at]) for at in np.split(np.arange(len(code)), starts[1:]) if len(at)]
+            yield pa.RecordBatch.from_arrays([pa.array(block[starts].astype(np.int32)), pa.array(values, pa.binary())], ["block", "counts"])
+
+    return pairs.mapInArrow(task, "block int, counts binary")
+
+
+def contexts(pairs: DataFrame, classes: np.ndarray, blocks: int, half: int) -> DataFrame:
+    """(unit, c, n) of :func:`packed_contexts`, added up."""
+    codes = 2 * (int(classes.max()) + 1) + 1
+
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        u, v, n = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
-        right = u * codes + np.where(u == v, 2 * size, shared.value[v])
-        left = v * codes + size + shared.value[u]
-        moving = [(unit != end) & (unit % blocks % 2 == half) for unit in (u, v)]
-        moving[1] &= u != v
-        code, total = _added([right[moving[0]], left[moving[1]]], [n[moving[0]], n[moving[1]]])
-        yield pa.RecordBatch.from_arrays([pa.array((code // codes).astype(np.int32)), pa.array((code % codes).astype(np.int32)), pa.array(total)], ["unit", "c", "n"])
+        for block, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+            steps, n = unpacked(value, 2)
+            code = np.cumsum(steps)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((code // codes * blocks + block).astype(np.int32)), pa.array((code % codes).astype(np.int32)), pa.array(n)], ["unit", "c", "n"])
 
-    return arrow_rows(pairs, work, "unit int, c int, n long").groupBy("unit", "c").agg(F.sum("n").alias("n"))
+    return arrow_rows(packed_contexts(pairs, classes, blocks, half), work, "unit int, c int, n long").groupBy("unit", "c").agg(F.sum("n").alias("n"))
 
 
-def _mover(matrix: np.ndarray, classes: np.ndarray) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Moves the units of a block, given their :func:`contexts`, frequent ones first."""
+def _mover(matrix: np.ndarray, classes: np.ndarray, blocks: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Moves the units of a block, given their :func:`packed_contexts`, frequent ones first."""
     size = len(matrix)
 
-    def moved(rows: pd.DataFrame) -> pd.DataFrame:
-        units, at = np.unique(rows["unit"].to_numpy(), return_inverse=True)
-        beside = np.zeros((len(units), 2 * size + 1))
-        beside[at, rows["c"].to_numpy()] = rows["n"].to_numpy()
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        beside = np.zeros((len(classes) // blocks + 1, 2 * size + 1))
+        block = 0
+        for batch in batches:
+            for block, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                steps, n = unpacked(value, 2)
+                beside.reshape(-1)[np.cumsum(steps)] += n
+        units = np.flatnonzero(beside.any(1))
+        beside = beside[units]
+        units = units * blocks + block
         order = np.lexsort([units, -beside.sum(1)])
         counts, best, done = matrix, classes[units], 0
         while done < len(units):
             now = order[done:done + min(STEP, 1 + done // 16)]
             best[now], counts = best_classes(counts, best[now], beside[now, size:2 * size], beside[now, :size], beside[now, -1])
             done += len(now)
-        return pd.DataFrame({"unit": units, "class": best})
+        yield pa.RecordBatch.from_arrays([pa.array(units.astype(np.int32)), pa.array(best.astype(np.int32))], ["unit", "class"])
 
     return moved
 
@@ -327,8 +405,8 @@ def _improved(pairs: DataFrame, classes: np.ndarray, moving: int, rounds: int) -
     blocks = max(8, 2 * -(-moving // (2 * BLOCK)))
     matrix = _class_matrix(pairs, classes)
     for turn in range(rounds):
-        moves = contexts(pairs, classes, blocks, turn % 2).withColumn("block", F.col("unit") % blocks).groupBy("block").applyInPandas(
-            _mover(matrix, classes), "unit int, class int")
+        moves = packed_contexts(pairs, classes, blocks, turn % 2).groupBy("block").applyInArrow(
+            _mover(matrix, classes, blocks), "unit int, class int")
         tried = classes.copy()
         rows = moves.toPandas()  # a row per unit, at most HEAD + ENDINGS
         tried[rows["unit"].to_numpy()] = rows["class"].to_numpy()
@@ -351,8 +429,7 @@ def exchange(pairs: DataFrame, owned: int, units: int, *, rounds: int = ROUNDS)
     classes[-1] = number
     if owned <= COMMON:
         return _improved(pairs, classes, units, rounds)
-    settled = [(F.col(c) < COMMON) | (F.col(c) >= owned) for c in ("u", "v")]
-    among = freeze(pairs.where(settled[0] & settled[1]).groupBy("u", "v").agg(F.sum("n").alias("n")))
+    among = freeze(pairs_among(pairs, owned, units))
     classes, _ = _improved(among, classes, COMMON + units - owned, rounds)
     return _improved(pairs, classes, units, min(rounds, 2))
 

@@ -43,6 +43,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cooccur.llm.frames import freeze
+from cooccur.llm.packing import packed, unpacked
 from cooccur.llm.text import FOLDED, U64, alphabet, chunks, joined, mixed, words_of
 from cooccur.session import discard, group_limit, scratch
 
@@ -66,19 +67,8 @@ def _payload(positions: np.ndarray, codes: np.ndarray) -> tuple[bytes, bytes]:
     return zstandard.compress(gaps, 1), zstandard.compress(codes.astype("<i4").tobytes(), 1)
 
 
-def _numbers(packed: pa.Scalar) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(packed.as_buffer()), "<i4")
-
-
-def _packed(*columns: np.ndarray) -> bytes:
-    """Columns of numbers as one value: the first bytes of all numbers, the second ones, and so on, compressed."""
-    planes = np.stack(columns).astype("<i8").view(np.uint8).reshape(len(columns), -1, 8).transpose(0, 2, 1)
-    return zstandard.compress(planes.tobytes(), 1)
-
-
-def _unpacked(packed: pa.Scalar, columns: int) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(packed.as_buffer()), np.uint8).reshape(columns, 8, -1)
-    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[..., 0]
+def _numbers(value: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(value.as_buffer()), "<i4")
 
 
 def _block(number: int, parts: list[tuple], langs: pa.Array) -> pa.RecordBatch:
@@ -90,14 +80,14 @@ def _block(number: int, parts: list[tuple], langs: pa.Array) -> pa.RecordBatch:
     codes = np.concatenate([code[p[2] + s] for p, s in zip(parts, local)])
     own = np.concatenate([p[3] for p in parts])[first]
     words = pa.chunked_array([p[4] for p in parts]).combine_chunks().take(pa.array(first))
-    gaps, packed = _payload(positions, codes)
+    gaps, phrases = _payload(positions, codes)
     n = len(keys)
     return pa.RecordBatch.from_arrays([
         pa.array(np.full(n + 1, number)), pa.array([None, *range(n)], pa.int32()),
         pa.concat_arrays([pa.nulls(1, pa.string()), langs.take(pa.array(own))]), pa.concat_arrays([pa.nulls(1, pa.string()), words]),
         pa.concat_arrays([pa.nulls(1, pa.int64()), pa.array(np.bincount(codes, minlength=n).astype(np.int64))]),
         pa.concat_arrays([pa.array([gaps], pa.binary()), pa.nulls(n, pa.binary())]),
-        pa.concat_arrays([pa.array([packed], pa.binary()), pa.nulls(n, pa.binary())]),
+        pa.concat_arrays([pa.array([phrases], pa.binary()), pa.nulls(n, pa.binary())]),
     ], ["block", "code", "lang", "word", "n", "gaps", "codes"])
 
 
@@ -174,7 +164,7 @@ def extended(relation: DataFrame, places: DataFrame, buckets: int, last: bool) -
             ids[found["code"].to_numpy()] = found["id"].to_numpy()
         else:
             for value in found["places"]:
-                steps, of = _unpacked(value, 2)
+                steps, of = unpacked(value, 2)
                 ids[np.cumsum(steps)] = of
         kept = np.flatnonzero(ids[codes] > 0)
         positions, codes = positions[kept], codes[kept].astype(np.int64)
@@ -186,7 +176,7 @@ def extended(relation: DataFrame, places: DataFrame, buckets: int, last: bool) -
         bucket = (mixed(mixed(head.astype(np.uint64)) + tail.astype(np.uint64)) % U64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         starts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-        counts = [_packed(np.diff(at, prepend=0), head[at], tail[at], n[at]) for at in np.split(order, starts[1:])]
+        counts = [packed(np.diff(at, prepend=0), head[at], tail[at], n[at]) for at in np.split(order, starts[1:])]
         rows = pa.table([
             pa.array(np.full(len(counts), number)), pa.array(bucket[order][starts]), pa.nulls(len(counts), pa.binary()),
             pa.nulls(len(counts), pa.binary()), pa.array(counts, pa.binary())], names=names)
@@ -209,7 +199,7 @@ def frequent_pairs(counted: DataFrame, least: int) -> DataFrame:
     kinds = [pa.int64()] * 5 + [pa.binary()]
 
     def work(rows: pa.Table) -> pa.Table:
-        parts = [_unpacked(value, 4) for value in rows["counts"]]
+        parts = [unpacked(value, 4) for value in rows["counts"]]
         head, tail, n = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
         _, left = np.unique(head, return_inverse=True)
         tails, right = np.unique(tail, return_inverse=True)
@@ -224,7 +214,7 @@ def frequent_pairs(counted: DataFrame, least: int) -> DataFrame:
             at = np.flatnonzero(own)
             if len(at):
                 blocks.append(block)
-                places.append(_packed(np.diff(np.cumsum(part[0])[at], prepend=0), own[at]))
+                places.append(packed(np.diff(np.cumsum(part[0])[at], prepend=0), own[at]))
         return pa.concat_tables([
             pa.table([pa.array(x) for x in (head[found], tail[found], f[often], ids[often])]
                      + [pa.nulls(len(found), k) for k in kinds[4:]], names=names),
