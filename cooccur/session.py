@@ -127,7 +127,7 @@ def freeze_all(*frames: DataFrame, keep: bool = False) -> list[DataFrame]:
 def discard(*tables: DataFrame) -> None:
     """Remove frozen tables that nothing will read any more."""
     for table in tables:
-        _remove(table.sparkSession, table.frozen_at)
+        remove(table.sparkSession, table.frozen_at)
 
 
 @contextmanager
@@ -143,14 +143,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     finally:
         _SCRATCH.remove(made)
         for path in made:
-            _remove(spark, path)
+            remove(spark, path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system with all in it."""
     found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(found, True)
 
 
 def release(spark: SparkSession) -> None:
     """Remove the application's intermediate tables; frames built on them become unreadable."""
-    _remove(spark, session_dir(spark))
+    remove(spark, session_dir(spark))

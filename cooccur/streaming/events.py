@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from cooccur.session import freeze
+from cooccur.session import freeze, remove
 from cooccur.sources.store import publish_model, read_model
 
 
@@ -47,17 +48,44 @@ def _stream_id(batch: DataFrame, checkpoint: str) -> str:
     return found or hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()
 
 
-def append_updates(updates: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def fold_updates(spark: SparkSession, path: str, keys: Sequence[str], due: Sequence[str] = ()) -> list[str]:
+    """Write the last row per key of all batches below ``path`` as one folder more, then remove the folders ``due``.
+
+    Returns the folders that the new one stands for; they are due at the next call, which reads
+    them once more. So a reader that opened them has until then to finish, and a batch that was being
+    written during this call is in the next one whole. Rows keep the ``at`` they were written with:
+    being in two folders changes nothing, and later batches go on correcting them.
+    """
+    rows = spark.read.parquet(path)
+    read = sorted({file.rsplit("/", 1)[0] for file in rows.inputFiles()})
+    rest = [c for c in rows.columns if c not in (*keys, "run", "batch")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct("at", "batch")).alias("_last"))
+    last.select(*keys, "_last.*").write.parquet(f"{path}/run=folded/batch={time.time_ns()}")
+    for folder in due:
+        remove(spark, folder)
+    return [folder for folder in read if folder not in due]
+
+
+def append_updates(
+    updates: DataFrame, path: str, checkpoint: str, *, keys: Sequence[str] = ("window", "item"), fold_after: int | None = 100,
+) -> StreamingQuery:
     """Write changed aggregates of each batch below ``path`` until the source is drained.
 
     A batch overwrites its own folder, so a replayed batch leaves one copy. The folder
     carries the stream's id, which lives in its checkpoint: another checkpoint, whose
     batches start at 0 again, adds to what is there. ``at`` orders the batches of all.
+    After every ``fold_after`` batches all folders are folded into one by their ``keys``, so what a
+    reader folds does not grow with the number of batches: at most the last 2 * ``fold_after`` of
+    a stream and the last two folded ones. One of the streams to a path may fold, the others take None.
     """
+    due: list[str] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
         run = _stream_id(batch, checkpoint)
         stamped = batch.withColumn("at", F.lit(time.time_ns()))
         stamped.write.mode("overwrite").parquet(f"{path}/run={run}/batch={batch_id}")
+        if fold_after and (batch_id + 1) % fold_after == 0:
+            due[:] = fold_updates(batch.sparkSession, path, keys, due)
 
     return (
         updates.writeStream.outputMode("update")

@@ -81,6 +81,40 @@ def test_append_updates_of_two_checkpoints(spark, landed, tmp_path):
     assert {"a", "b", "d", "e"} <= {r["item"] for r in st.latest_updates(spark, out, ["window", "item"], "rank").collect()}
 
 
+@pytest.mark.parametrize("fold_after", [1, 2])
+def test_folded_updates_equal_batch_and_are_corrected(spark, landed, tmp_path, rows, fold_after):
+    whole, stream = landed
+    out = str(tmp_path / "out")
+    windows = st.stream_popular(stream, "7 days", "60 days")
+    st.append_updates(windows, out, str(tmp_path / "ck"), fold_after=fold_after).awaitTermination()
+    batch = whole.groupBy(F.window("event_time", "7 days").getField("start").alias("at"), F.col("target_entity_id").alias("item")).agg(
+        F.count("*").cast("double").alias("rank"))
+    latest = st.latest_updates(spark, out, ["window", "item"], "rank").select(F.col("window.start").alias("at"), "item", "rank")
+    assert rows(latest) == rows(batch)
+    left = {f.rsplit("/", 2)[1] for f in spark.read.parquet(out).inputFiles()}
+    assert any(len(f) > len("batch=") + 10 for f in left)  # a folded one
+    assert "batch=0" not in left  # in two folded ones, and so removed
+    # what is written after the folds wins, whichever folder the older row is in now
+    spark.read.parquet(out).drop("run", "batch").limit(1).withColumns({"rank": F.lit(99.0), "at": F.col("at") * 2}).write.parquet(
+        f"{out}/run=late/batch=0")
+    again = [r["rank"] for r in st.latest_updates(spark, out, ["window", "item"], "rank").collect()]
+    assert again.count(99.0) == 1 and len(again) == batch.count()
+
+
+def test_folding_twice_reads_each_folder_twice(spark, tmp_path, rows):
+    out = str(tmp_path / "out")
+    for at, rank in enumerate([3.0, 5.0]):
+        spark.createDataFrame([("a", rank, at), ("b" if at else "c", 1.0, at)], "item string, rank double, at long").write.parquet(
+            f"{out}/run=x/batch={at}")
+    want = [("a", 5.0), ("b", 1.0), ("c", 1.0)]
+    due = st.fold_updates(spark, out, ["item"])
+    assert len(due) == 2
+    for _ in range(2):
+        due = st.fold_updates(spark, out, ["item"], due)
+        assert len(due) == 1 and sorted(rows(st.latest_updates(spark, out, ["item"], "rank"), "item", "rank")) == want
+    assert {f.rsplit("/", 3)[1] for f in spark.read.parquet(out).inputFiles()} == {"run=folded"}
+
+
 def test_every_query_has_sql():
     from workloads.oracles import ORACLES
     from workloads.registry import QUERIES
