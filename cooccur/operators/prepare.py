@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cooccur.functions.scores import hash_order
+from cooccur.operators.selection import smallest
 from cooccur.session import allow_group_limit
 
 INTERACTION = ["event", "user", "item"]
@@ -50,7 +51,8 @@ def downsample(
     A reproducible random choice: rows are ordered by a digest of seed, user and
     item. ``max_per_user`` may differ by event type; where it is None all rows stay. The
     constant bound lets Spark discard surplus rows of a heavy user inside each map task,
-    before the shuffle.
+    before the shuffle. The rows of an item that many users share are not sorted together: counts of
+    leading digits of the digest tell which can be among the chosen ones.
     """
     if isinstance(max_per_user, dict):
         caps = {event: cap for event, cap in max_per_user.items() if cap is not None}
@@ -70,13 +72,7 @@ def downsample(
         if isinstance(max_per_user, dict) and len(caps) < len(max_per_user):
             kept = kept.unionByName(actions.where(~capped))
     if max_per_item is not None:
-        order = [hash_order(F.lit(str(seed)), "user", "item"), F.col("user")]
-        by_item = W.partitionBy("event", "item").orderBy(*order)
-        kept = (
-            kept.withColumn("_nth", F.row_number().over(by_item))
-            .where(F.col("_nth") <= max_per_item)
-            .drop("_nth")
-        )
+        kept = smallest(kept, ["event", "item"], hash_order(F.lit(str(seed)), "user", "item"), ["user"], max_per_item)
     return kept
 
 

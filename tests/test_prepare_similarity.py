@@ -2,10 +2,11 @@ from collections import Counter
 from itertools import product
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cooccur import Indicator
-from cooccur.operators import prepare, similarity
+from cooccur.operators import prepare, selection, similarity
 from cooccur.sources.events import recent_events_by_entity, scan_events, split_actions
 
 
@@ -66,6 +67,26 @@ def test_downsample_caps_and_is_stable(crowd, rows):
     assert rows(prepare.downsample(crowd, 1000, 7)) == rows(crowd)
 
 
+@pytest.mark.parametrize("wanted", [1, 40, 700])
+def test_smallest_of_a_hot_group_equals_a_sort(spark, rows, wanted):
+    """An item of a third of all rows, one of equal rows only, small ones and a null one."""
+    hot = spark.range(6000).select(F.lit("hot").alias("item"), F.concat(F.lit("u"), "id").alias("user"))
+    small = spark.range(8000).select(F.concat(F.lit("i"), F.col("id") % 400).alias("item"), F.concat(F.lit("u"), "id").alias("user"))
+    alike = spark.range(2000).select(F.lit("alike").alias("item"), F.lit("u").alias("user"))
+    nulls = spark.range(2000).select(F.lit(None).cast("string").alias("item"), F.concat(F.lit("u"), "id").alias("user"))
+    log = hot.unionByName(small).unionByName(alike).unionByName(nulls)
+    digest = F.md5(F.concat_ws("/", "user", "item").cast("binary"))
+    place = Window.partitionBy("item").orderBy(digest, "user")
+    want = log.withColumn("n", F.row_number().over(place)).where(F.col("n") <= wanted).drop("n")
+    assert rows(selection.smallest(log, ["item"], digest, ["user"], wanted, spare=50)) == rows(want)
+    keyed = log.withColumn("digest", digest)
+    bounds = selection.digit_bounds(keyed, ["item"], "digest", wanted, spare=50)
+    near = keyed.join(bounds, "item").where("left(digest, length(prefix)) <= prefix").groupBy("item").count()
+    sizes = {r["item"]: r["count"] for r in near.collect()}
+    assert wanted <= sizes["hot"] <= wanted + 50 and sizes["alike"] == 2000
+    assert set(sizes) == {"hot", "alike"}
+
+
 @pytest.mark.parametrize("tile", [3, 1024])
 def test_pairs_equal_brute_force(crowd, rows, tile):
     buys, views = pairs_of(crowd, "buy"), pairs_of(crowd, "view")
