@@ -56,6 +56,8 @@ SCALE = 2_000_000
 BLOCK_WORDS = 1 << 20
 #: Fewest buckets that the pairs of the blocks are dealt to.
 BUCKETS = 64
+#: Rows of frequent words that a task holds before it puts them into values.
+PLACES = 1 << 20
 
 _BREAK = np.isin(np.arange(256), list(BREAKS))
 WORDS = alphabet(~_BREAK & ~np.isin(np.arange(256), list(GAPS)))
@@ -128,30 +130,57 @@ def occurrences(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> D
 
 
 def frequent(counted: DataFrame, least: int) -> DataFrame:
-    """Where the words with at least ``least`` occurrences are: (block, code, id), and with row = id their (lang, word, f).
+    """The words with at least ``least`` occurrences: (lang, word, f, id) rows, and (block, places) rows.
 
     Each block has one row for a word, so the rows of a word are at most as many as there are
     blocks. A word's id is the least number of its rows, given to them after they met; the result
-    is written once, so ids stay what they are.
+    is written once, so ids stay what they are. ``places`` holds (code, id) of some of a block's words, codes
+    by their steps: those among ``PLACES`` rows of a task.
     """
     of = W.partitionBy("lang", "word")
     kept = counted.withColumn("f", F.sum("n").over(of)).where(F.col("f") >= least).withColumn("row", F.monotonically_increasing_id() + 1)
-    once = [F.when(F.col("row") == F.col("id"), F.col(c)).alias(c) for c in ("lang", "word", "f", "row")]
-    return freeze(kept.withColumn("id", F.min("row").over(of)).select("block", "code", *once, "id"))
+    rows = kept.withColumn("id", F.min("row").over(of)).select("lang", "word", "f", "id", "row", "block", "code")
+    names = ["lang", "word", "f", "id", "block", "places"]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+
+    def placed(held: list[tuple]) -> pa.RecordBatch:
+        block, code, of = (np.concatenate(c) for c in zip(*held))
+        order = np.lexsort([code, block])
+        block, code, of = block[order], code[order], of[order]
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        values = [packed(np.diff(code[at], prepend=0), of[at]) for at in np.split(np.arange(len(block)), starts[1:])]
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(len(values), k) for k in kinds[:4]] + [pa.array(block[starts]), pa.array(values, pa.binary())], names)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            of, row, block, code = (batch.column(c).to_numpy() for c in range(3, 7))
+            first = batch.filter(pa.array(of == row))
+            yield pa.RecordBatch.from_arrays([*first.columns[:4], *(pa.nulls(first.num_rows, k) for k in kinds[4:])], names)
+            held.append((block, code.astype(np.int64), of))
+            n += len(of)
+            if n >= PLACES:
+                yield placed(held)
+                held, n = [], 0
+        if held:
+            yield placed(held)
+
+    return freeze(rows.mapInArrow(task, "lang string, word string, f long, id long, block long, places binary"))
 
 
 def extended(relation: DataFrame, places: DataFrame, buckets: int, last: bool) -> DataFrame:
     """The relation of phrases one word longer: (block, gaps, codes) rows, and (block, bucket, counts) rows.
 
-    ``places`` has the frequent phrases of the blocks, as (code, id) rows or in values; the others
-    leave the relation here. ``counts`` holds (code, head, tail, n) of the block's phrases of a bucket, codes
+    ``places`` has the frequent phrases of the blocks; the others leave the relation here. ``counts`` holds (code, head, tail, n) of the block's phrases of a bucket, codes
     by their steps. The ``last`` relation is not extended again and its occurrences are not kept.
     """
     schema = "block long, bucket int, gaps binary, codes binary, counts binary"
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     names = ["block", "bucket", "gaps", "codes", "counts"]
     empty = pa.table([pa.nulls(0, k) for k in kinds], names=names)
-    single = "code" in places.columns
 
     def work(blocks: pa.Table, found: pa.Table) -> pa.Table:
         if not blocks.num_rows or not found.num_rows:
@@ -160,12 +189,9 @@ def extended(relation: DataFrame, places: DataFrame, buckets: int, last: bool) -
         codes = _numbers(blocks["codes"][0])
         positions = np.cumsum(_numbers(blocks["gaps"][0]).astype(np.int64))
         ids = np.zeros(int(codes.max()) + 1, np.int64)
-        if single:
-            ids[found["code"].to_numpy()] = found["id"].to_numpy()
-        else:
-            for value in found["places"]:
-                steps, of = unpacked(value, 2)
-                ids[np.cumsum(steps)] = of
+        for value in found["places"]:
+            steps, of = unpacked(value, 2)
+            ids[np.cumsum(steps)] = of
         kept = np.flatnonzero(ids[codes] > 0)
         positions, codes = positions[kept], codes[kept].astype(np.int64)
         pairs = np.flatnonzero(positions[1:] == positions[:-1] + 1)
@@ -242,12 +268,14 @@ def mine(
         counted = relation.where("code is not null")
         totals = freeze(counted.groupBy("lang").agg(F.sum("n").alias("n")), keep=True)
         found = frequent(counted, least)
-        buckets = max(BUCKETS, relation.where("gaps is not null").count())
-        levels.append(freeze(found.where("row = id").select(
+        words, relation = relation, freeze(relation.where("gaps is not null").select("block", "gaps", "codes"))
+        discard(words)
+        buckets = max(BUCKETS, relation.count())
+        levels.append(freeze(found.where("id is not null").select(
             F.lit(1).alias("size"), "id", "lang", F.array("word").alias("words"), "f", own.alias("begins"), own.alias("ends"),
             none.alias("head"), none.alias("tail")), keep=True))
         for size in range(2, longest + 1):
-            places = found.select("block", "code", "id") if size == 2 else found.where("places is not null").select("block", "places")
+            places = found.where("places is not null").select("block", "places")
             longer = freeze(extended(relation, places, buckets, size == longest))
             discard(relation, found)
             relation, found = longer, frequent_pairs(longer.where("bucket is not null").select("block", "bucket", "counts"), least)
