@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 
 from cooccur.llm.frames import arrow_rows, freeze, fresh_path, text_digest
 from cooccur.llm.text import Chunk, alphabet, chunks, spans_hash
+from cooccur.session import batch_bytes
 
 #: Fixed values of the record format.
 MASK_DELTA = 0xA282EAD8
@@ -48,7 +49,12 @@ BODY = struct.Struct("<BqB")
 CLOSE = b"\n"
 
 #: Pieces of text whose ids a Python worker remembers; beyond that it starts over.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
+#: Pieces that the tokenizer encodes at a time.
+LEARNED = 4096
+#: Bytes of the texts that are cut into pieces at a time, and of the batches that tasks are sent; a longer text is one of its own.
+PART_BYTES = 1 << 19
+BATCH_BYTES = 4 << 20
 
 
 def masked(checksum: int) -> int:
@@ -129,16 +135,20 @@ class PieceEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.place: dict[int, int] = {}
+        # Hashes of remembered pieces in order, and which piece each is. As arrays a piece takes 12 bytes, in a dict above 100.
+        self.known = np.zeros(0, np.uint64)
+        self.nth = np.zeros(0, np.int32)
         self.flat = np.zeros(1 << 16, self.width)
         self.ends = np.zeros(1 << 14, np.int64)
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
-        for start in range(0, len(pieces), 4096):
-            encoded = self.tokenizer.encode_batch_fast(pieces[start: start + 4096], add_special_tokens=False)
+    def _learn(self, chunk: Chunk, start: np.ndarray, end: np.ndarray) -> None:
+        """Append the ids of these spans as further pieces."""
+        first = len(self.known)
+        for part in range(0, len(start), LEARNED):
+            spans = zip(start[part: part + LEARNED].tolist(), end[part: part + LEARNED].tolist(), strict=True)
+            encoded = self.tokenizer.encode_batch_fast([chunk.text(*span) for span in spans], add_special_tokens=False)
             found = [e.ids for e in encoded]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            first = len(self.place)
             used = int(self.ends[first])
             while first + len(found) + 1 > len(self.ends):
                 self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
@@ -146,7 +156,7 @@ class PieceEncoder:
                 self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
             self.flat[used: used + sizes.sum()] = np.fromiter((i for ids in found for i in ids), self.width, int(sizes.sum()))
             self.ends[first + 1: first + 1 + len(found)] = used + np.cumsum(sizes)
-            self.place.update(zip(hashes[start: start + 4096], range(first, first + len(found)), strict=True))
+            first += len(found)
 
     def encode(self, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, end of each text's ids)."""
@@ -156,12 +166,17 @@ class PieceEncoder:
         end = np.append(start[1:], len(chunk.raw))
         distinct, first, inverse = np.unique(
             spans_hash(chunk.raw, start, end, _ANY.value), return_index=True, return_inverse=True)
-        if len(self.place) + len(distinct) > REMEMBERED:
+        if len(self.known) + len(distinct) > REMEMBERED:
             self.forget()
-        keys = distinct.tolist()
-        new = [i for i, key in enumerate(keys) if key not in self.place]
-        self._learn([keys[i] for i in new], [chunk.text(start[first[i]], end[first[i]]) for i in new])
-        slots = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))[inverse]
+        at = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        inner = at < len(self.known)
+        new[inner] = self.known[at[inner]] != distinct[inner]
+        if new.any():
+            self._learn(chunk, start[first[new]], end[first[new]])
+            added = np.arange(len(self.known), len(self.known) + new.sum(), dtype=np.int32)
+            self.known, self.nth = np.insert(self.known, at[new], distinct[new]), np.insert(self.nth, at[new], added)
+        slots = self.nth[np.searchsorted(self.known, distinct)][inverse]
         sizes = self.ends[slots + 1] - self.ends[slots]
         until = np.cumsum(sizes)
         take = np.arange(until[-1]) + np.repeat(self.ends[slots] - (until - sizes), sizes)
@@ -196,7 +211,7 @@ def write_records(
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         ids = batch.column(0).to_pylist()
-        for chunk in chunks(batch.column(1)):
+        for chunk in chunks(batch.column(1), PART_BYTES):
             flat, ends = own.encode(chunk)
             end_mark = np.array([end_id], flat.dtype)
             out, at = [], 0
@@ -206,7 +221,8 @@ def write_records(
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     framed_rows = arrow_rows(ranged.sortWithinPartitions(*order).select("doc_id", "text"), work, "record binary")
-    framed_rows.select(F.col("record").cast("string").alias("value")).write.text(f"{path}/data", lineSep=CLOSE.decode())
+    with batch_bytes(docs.sparkSession, BATCH_BYTES):
+        framed_rows.select(F.col("record").cast("string").alias("value")).write.text(f"{path}/data", lineSep=CLOSE.decode())
     scan_records(docs.sparkSession, path).select(
         "file", "offset", "length", "doc_id", "start", "n_tokens").write.parquet(f"{path}/index")
 
@@ -238,7 +254,8 @@ def scan_records(spark: SparkSession, path: str) -> DataFrame:
                 [pa.array([file] * len(out), pa.string()), pa.array([number] * len(out), pa.int64()), *columns],
                 ["file", "number", "offset", "length", "doc_id", "before", "n_tokens", "ids_crc32"])
 
-    records = freeze(arrow_rows(_files(spark, path), work, SCANNED))
+    with batch_bytes(spark, BATCH_BYTES):
+        records = freeze(arrow_rows(_files(spark, path), work, SCANNED))
     earlier = W.orderBy("number").rowsBetween(W.unboundedPreceding, -1)
     bases = records.groupBy("number").agg(F.sum("n_tokens").alias("_n")).select(
         "number", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))

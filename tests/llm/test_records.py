@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from cooccur.llm import records
 from cooccur.llm.queries import END_ID, tokenizer_path
 from cooccur.llm.text import chunks
-from cooccur.session import fresh_path
+from cooccur.session import batch_bytes, fresh_path
 from tests.llm.conftest import SCHEMA, words
 
 
@@ -31,6 +32,25 @@ def test_pieces_give_the_ids_of_whole_texts(tokenizer):
             at = until
 
 
+def test_remembered_pieces_are_small_and_may_be_forgotten(tokenizer, monkeypatch):
+    texts = [words(400, i) for i in range(200)]
+    own = records.PieceEncoder(tokenizer_path())
+    list(map(own.encode, chunks(pa.array(["one text"]))))
+    tracemalloc.start()
+    for chunk in chunks(pa.array(texts), 60000):
+        own.encode(chunk)
+    pieces = len(own.ends[own.ends > 0])
+    del chunk
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert pieces > 40000 and held < 80 * pieces
+    monkeypatch.setattr(records, "REMEMBERED", 3000)
+    for chunk in chunks(pa.array(texts), 20000):
+        ids, ends = own.encode(chunk)
+        got = [a.tolist() for a in np.split(ids, ends)[:-1]]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts[chunk.first: chunk.last]]
+
+
 def test_round_trip(spark, odd, odd_rows, tokenizer):
     path = fresh_path(spark, "records")
     found = records.token_records(odd, tokenizer=tokenizer_path(), end_id=END_ID, path=path, files=3).collect()
@@ -55,6 +75,18 @@ def test_damage_is_found():
         records.record_at(memoryview(bytes(data)), 0)
 
 
+def test_batches_to_tasks_are_bounded_inside_the_block_only(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    found = spark.range(3000).repartition(1).selectExpr("repeat('x', 1000) text").mapInArrow(sizes, "n long")
+    with batch_bytes(spark, 1 << 17):
+        inside = [r["n"] for r in found.collect()]
+    assert sum(inside) == 3000 and max(inside) < 300
+    assert [r["n"] for r in found.collect()] == [3000]
+
+
 def test_empty(spark, empty):
     assert records.token_records(empty, tokenizer=tokenizer_path(), end_id=END_ID).count() == 0
 
