@@ -31,6 +31,8 @@ TILE = 512
 PAIRS_PER_PARTITION = 4_000_000
 #: Pairs of heavy users that a task makes, about: a few tiles.
 HEAVY_PAIRS_PER_PARTITION = 4 * TILE * TILE
+#: Pairs that a task aggregates in :func:`directed_pairs`, about; an item with more is dealt out by its correlators.
+PAIRS_PER_ITEM_TASK = 1_000_000
 
 
 class PairWork(NamedTuple):
@@ -209,18 +211,18 @@ def correlator_lists(corr: DataFrame, actions: Sequence[str]) -> DataFrame:
     return corr.groupBy("item").agg(*[ranked(a) for a in actions])
 
 
-def scored_numbers(
-    actions: DataFrame,
-    specs: Sequence[Indicator],
-    seed: int,
-    tile: int = TILE,
-    secondary_only: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """(pairs, names): every scored pair as numbers, and the item of each number.
+class Numbered(NamedTuple):
+    """Rows of both sides with items as numbers and their counts, the numbers' items, and the pairs to come."""
+
+    left: DataFrame
+    right: DataFrame
+    names: DataFrame
+    sizes: DataFrame
+    work: PairWork
 
-    pairs is (event, item, correlator, k11, ca, cb, llr): ``event`` is a spec's place, items
-    are numbered in the order of their ids. Of the pairs inside the primary event (0) there is
-    one order, item < correlator; ``secondary_only`` leaves them out.
+
+def _numbered(actions: DataFrame, specs: Sequence[Indicator], seed: int, tile: int, secondary_only: bool = False) -> Numbered:
+    """The two sides of the join on ``user``.
 
     The rows are frozen, so the log is read once; a cap treats each user on their own, so
     restricting the users afterwards gives the same rows as before. Item counts travel with
@@ -247,7 +249,67 @@ def scored_numbers(
     right = counted.where(F.col("event") >= int(secondary_only)).select(
         "user", "event", F.col("item").alias("correlator"), F.col("n_users").alias("cb"))
     sizes = user_sizes(left, right)
-    work = pair_work(sizes, tile)
+    return Numbered(left, right, names, sizes, pair_work(sizes, tile))
+
+
+def directed_pairs(found: Numbered, events: int, tile: int, most: int = PAIRS_PER_ITEM_TASK) -> DataFrame:
+    """(event, item, correlator, k11, ca, cb, llr) in both orders inside the primary event (0), an item's pairs close together.
+
+    A pair is not a row before it lies with its item: each row of a user's item meets the user's
+    correlators as one list (of a tile, if there are many), and the lists are shuffled by item. A pair so
+    takes two numbers of a list instead of a row of six, its aggregation needs no further shuffle, and of the pairs
+    of an item all but the top k are dropped before they are shuffled again. An item with more than ``most`` pairs
+    goes to several tasks, by correlator.
+    """
+    left, right, _, sizes, work = found
+    heavy = (
+        left.join(sizes.select("user", "r"), "user").groupBy("item").agg(F.sum("r").alias("_w")).where(F.col("_w") > most)
+        .select("item", F.ceil(F.col("_w") / most).cast("int").alias("_parts")))
+    # At most (pairs / most) rows.
+    left = left.join(F.broadcast(heavy), "item", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+
+    keys = ["user", "_l", "_r"]
+    partitions = max(_parallel(left), -(-work.light // PAIRS_PER_PARTITION) - (-work.heavy // HEAVY_PAIRS_PER_PARTITION))
+    left, right = (side.repartition(partitions, *keys) for side in tile_users(left, right, tile, sizes))
+    entry = F.struct((F.col("correlator") * events + F.col("event")).alias("code"), "cb")
+    lists = right.groupBy(*keys).agg(F.collect_list(entry).alias("_list")).select(
+        *keys, F.col("_list.code").alias("codes"), F.col("_list.cb").alias("cbs"))
+    whole = left.join(lists.hint("merge"), keys).withColumn("_part", F.explode(F.expr("sequence(0, _parts - 1)")))
+    own = "pmod(xxhash64({}), _parts) = _part"
+    dealt = whole.select(
+        "item", "ca", "_part",
+        F.expr(f"if(_parts = 1, codes, filter(codes, c -> {own.format('c')}))").alias("code"),
+        F.expr(f"if(_parts = 1, cbs, filter(cbs, (b, i) -> {own.format('codes[i]')}))").alias("cb"))
+
+    tasks = max(_parallel(left), -(-(work.light + work.heavy) // most))
+    rows = dealt.repartition(tasks, "item", "_part").select("item", "ca", "_part", F.inline(F.arrays_zip("code", "cb")))
+    # Both orders of a pair are scored as the one in which the item is the smaller, so that they agree in every digit.
+    mirrored = (F.col("event") == 0) & (F.col("item") > F.col("correlator"))
+    first, second = (F.when(mirrored, F.col(x)).otherwise(F.col(y)) for x, y in (("cb", "ca"), ("ca", "cb")))
+    return (
+        rows.withColumns({"event": (F.col("code") % events).cast("int"), "correlator": F.expr(f"code div {events}")})
+        .where("event <> 0 or item <> correlator")
+        .groupBy("item", "_part", "event", "correlator")
+        .agg(F.count("*").alias("k11"), F.max("ca").alias("ca"), F.max("cb").alias("cb"))
+        .withColumn("llr", llr(F.col("k11"), first, second, F.lit(work.users)))
+        .drop("_part")
+    )
+
+
+def scored_numbers(
+    actions: DataFrame,
+    specs: Sequence[Indicator],
+    seed: int,
+    tile: int = TILE,
+    secondary_only: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(pairs, names): every scored pair as numbers, and the item of each number.
+
+    pairs is (event, item, correlator, k11, ca, cb, llr): ``event`` is a spec's place, items
+    are numbered in the order of their ids. Of the pairs inside the primary event (0) there is
+    one order, item < correlator; ``secondary_only`` leaves them out.
+    """
+    left, right, names, sizes, work = _numbered(actions, specs, seed, tile, secondary_only)
     pairs = (
         user_pairs(left, right, tile, sizes, work)
         .where("event <> 0 or item < correlator")
@@ -279,21 +341,17 @@ def indicators(
     matched to the data by event name. Pairs are counted, scored and ranked as plain
     numbers and named again when only the top k are left.
     """
-    pairs, names = scored_numbers(actions, specs, seed, tile)
+    found = _numbered(actions, specs, seed, tile)
+    pairs = directed_pairs(found, len(specs), tile)
     low = F.lit(None).cast("double")
     for i, spec in enumerate(specs):
         if spec.min_llr is not None:
             low = F.when(F.col("event") == i, F.lit(float(spec.min_llr))).otherwise(low)
     strong = pairs.where(F.when(low.isNull(), F.col("llr") > 0).otherwise(F.col("llr") >= low))
 
-    forward = F.struct(F.col("item").alias("a"), F.col("correlator").alias("b"))
-    mirror = F.struct(F.col("correlator").alias("a"), F.col("item").alias("b"))
-    directed = F.when(F.col("event") == 0, F.array(forward, mirror)).otherwise(F.array(forward))
-    corr = strong.select(
-        F.col("event").alias("action"), F.explode(directed).alias("p"), "llr"
-    ).select("action", F.col("p.a").alias("item"), F.col("p.b").alias("correlator"), "llr")
+    corr = strong.select(F.col("event").alias("action"), "item", "correlator", "llr")
     top = top_correlators(corr, {i: s.max_correlators_per_item for i, s in enumerate(specs)})
-    return named(top, names).select(
+    return named(top, found.names).select(
         F.element_at(F.array(*[F.lit(s.name) for s in specs]), F.col("action") + 1).alias("action"),
         "item", "correlator", "llr", "rank",
     )
