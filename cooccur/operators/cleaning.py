@@ -10,6 +10,8 @@ from cooccur.operators.properties import SET, UNSET, latest_values, property_cha
 from cooccur.sources.events import EVENT_COLUMNS, as_time_of
 from cooccur.sources.store import publish_model, read_model
 
+#: Rows that a task sorts to collapse copies before they are shuffled, about.
+ROWS_PER_TASK = 250_000
 BUSINESS_KEY = [c for c in EVENT_COLUMNS if c not in ("event_id", "creation_time")]
 
 
@@ -20,15 +22,30 @@ def clean_event_window(events: DataFrame, duration, as_of) -> DataFrame:
     return events.where(recent | F.col("event").isin(SET, UNSET))
 
 
+def _dealt(events: DataFrame, most: int) -> DataFrame:
+    """``events`` in tasks of about ``most`` rows, whatever they hold; a small log stays as it is.
+
+    A text in the result of an aggregation makes Spark sort each map task's rows. Files are split by bytes on disk
+    and by cores, so without this these rows would grow with the log.
+    """
+    if events.isStreaming:
+        return events
+    tasks = -(-events.count() // most)
+    if tasks <= events.sparkSession.sparkContext.defaultParallelism:
+        return events
+    return events.repartition(tasks, F.monotonically_increasing_id())
+
+
 def dedup_events(events: DataFrame) -> DataFrame:
     """Events alike in all but id and creation time become the earliest of them.
 
     An aggregation rather than a window: copies collapse inside each map task, so
-    one event repeated a billion times is no heavier than any other.
+    one event repeated a billion times is no heavier than any other. The log is counted
+    first, and a large one is dealt out in tasks of a bounded number of rows.
     """
     earliest = F.min(F.struct("creation_time", "event_id"))
     return (
-        events.groupBy(*BUSINESS_KEY)
+        _dealt(events.select(*EVENT_COLUMNS), ROWS_PER_TASK).groupBy(*BUSINESS_KEY)
         .agg(earliest.alias("_first"))
         .select(
             *BUSINESS_KEY,
